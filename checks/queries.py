@@ -446,11 +446,16 @@ def relevant_matches(v: Views) -> DataFrame:
     )
 
 
-def _skills(v: Views) -> DataFrame:
-    """Latest skill per user and category, from the snapshots of all matches."""
-    candidates = snapshot_plan.candidate_snapshots(v.players(), v.matches(), incremental.ScanWindow(incremental.FIRST_RUN, ORDERS_AS_OF))
-    best = keyed.first_per_key(candidates, snapshot_plan.SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()])
-    return agg.latest_skill(best)
+def _snapshots(v: Views) -> DataFrame:
+    """The snapshots of all matches before the clock, unique by key."""
+    window = incremental.ScanWindow(incremental.FIRST_RUN, ORDERS_AS_OF)
+    candidates = snapshot_plan.candidate_snapshots(v.players(), v.matches(), window)
+    return keyed.first_per_key(candidates, snapshot_plan.SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()])
+
+
+def _rated_modes(v: Views) -> DataFrame:
+    modes = page_plan.per_mode(page_plan.relevant_matches(v.base()))
+    return page_plan.rated_modes(modes, agg.latest_skill(_snapshots(v)))
 
 
 @query
@@ -460,8 +465,7 @@ def mode_components(v: Views) -> DataFrame:
 
 @query
 def skill_per_mode(v: Views) -> DataFrame:
-    rated = page_plan.rated_modes(page_plan.per_mode(page_plan.relevant_matches(v.base())), _skills(v))
-    modes = page_plan.mode_components_by_user(rated)
+    modes = page_plan.mode_components_by_user(_rated_modes(v))
     entries = modes.select("user_id", F.explode("skillPerMode").alias("category", "e"))
     return entries.select(
         "user_id",
@@ -544,8 +548,7 @@ def lobby_histogram_dense(v: Views) -> DataFrame:
 
 @query
 def lobby_arrays(v: Views) -> DataFrame:
-    rated = page_plan.rated_modes(page_plan.per_mode(page_plan.relevant_matches(v.base())), _skills(v))
-    entries = page_plan.mode_components_by_user(rated).select("user_id", F.explode("lobbyData").alias("category", "bins"))
+    entries = page_plan.mode_components_by_user(_rated_modes(v)).select("user_id", F.explode("lobbyData").alias("category", "bins"))
     return entries.select("user_id", "category", arrays.text_list(F.col("bins")).alias("bins"))
 
 
@@ -609,11 +612,7 @@ def skill_history_arrays(v: Views) -> DataFrame:
 
 def _components(v: Views) -> DataFrame:
     base = stage(v.base(), "page-base")
-    candidates = snapshot_plan.candidate_snapshots(
-        v.players(), v.matches(), incremental.ScanWindow(incremental.FIRST_RUN, ORDERS_AS_OF)
-    )
-    best = keyed.first_per_key(candidates, snapshot_plan.SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()])
-    snapshots = stage(best, "snapshots")
+    snapshots = stage(_snapshots(v), "snapshots")
     return page_plan.page_components(base, agg.latest_skill(snapshots), snapshots, *WINDOW)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from replaystats.functions.scalars import match_category
 from replaystats.operators.aggregates import lobby_stats
 from replaystats.plans.pages import player_matches
+from replaystats.session import stage
 
 WINDOW = ("1999-07-17", "2000-01-01")
 ORDERS_AS_OF = datetime(2000, 1, 1)
@@ -21,6 +22,7 @@ EVENTS_WATERMARK = datetime(2024, 1, 20)
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._matches: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -46,9 +48,13 @@ class Views:
         )
 
     def matches(self) -> DataFrame:
-        stats = lobby_stats(self.players())
-        joined = self.orders().join(stats, "replay_id")
-        return joined.withColumn("category", match_category("player_count", "team_count"))
+        """The match table. Staged, as in the pipeline, where it is a stored table."""
+        if self._matches is None:
+            stats = lobby_stats(self.players())
+            joined = self.orders().join(stats, "replay_id")
+            category = match_category("player_count", "team_count")
+            self._matches = stage(joined.withColumn("category", category), "matches")
+        return self._matches
 
     def base(self) -> DataFrame:
         return player_matches(self.players(), self.matches(), *WINDOW)

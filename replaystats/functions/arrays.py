@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,46 +55,36 @@ def dense_counts(bins: Column, counts: Column, size: int) -> Column:
     return F.array(*[F.coalesce(F.sum(F.when(bins == i, counts)), F.lit(0)) for i in range(size)])
 
 
-def fill_series(points: Column, start: Column, end: Column, fill: str = "lag1") -> Column:
+def fill_series(points: Column, start: Column, end: Column, fill: str = "lag1", zero: Column | None = None) -> Column:
     """Sparse (day, value) points to one value per day of [start, end], as an array.
 
     ``points`` is an array of structs (day date, value), unique by day. Each known point
     owns the stretch up to the next one, so the work is linear in the number of days.
 
     ``lag1``: a day without a value takes the value of the day before it; further days of
-    a gap stay NULL, and only the first day of the series starts from 0.
-    ``ffill``: the last known value is carried through the gap, 0 before the first point.
+    a gap stay NULL, and only the first day of the series starts from ``zero``.
+    ``ffill``: the last known value is carried through the gap, ``zero`` before the first point.
     """
     if fill not in ("lag1", "ffill"):
         raise ValueError(f"unknown fill={fill!r}")
+    zero = F.lit(0.0) if zero is None else zero
     known = F.sort_array(F.filter(points, lambda p: p["value"].isNotNull()))
     after_end = F.date_add(end, 1)
 
-    def stretch(value: Column, days: Column) -> Column:
+    def stretch(value: Column, days: Column, held: int) -> Column:
         if fill == "ffill":
             return F.array_repeat(value, days)
-        return _held_one_day(value, days, 2)
+        copies = F.least(days, F.lit(held))
+        return F.concat(F.array_repeat(value, copies), F.array_repeat(F.lit(None), days - copies))
 
     def own_stretch(point: Column, index: Column) -> Column:
         following = F.coalesce(F.get(known, index + 1)["day"], after_end)
-        return stretch(point["value"], F.date_diff(following, point["day"]))
+        return stretch(point["value"], F.date_diff(following, point["day"]), 2)
 
     lead_days = F.date_diff(F.coalesce(F.get(known, F.lit(0))["day"], after_end), start)
-    zero = F.lit(0.0)
-    lead = F.array_repeat(zero, lead_days) if fill == "ffill" else _held_one_day(zero, lead_days, 1)
-    return F.concat(lead, F.flatten(F.transform(known, own_stretch)))
-
-
-def _held_one_day(value: Column, days: Column, held: int) -> Column:
-    """``held`` copies of the value at most, NULL for the rest of ``days``."""
-    copies = F.least(days, F.lit(held))
-    return F.concat(F.array_repeat(value, copies), F.array_repeat(F.lit(None).cast("double"), days - copies))
+    return F.concat(stretch(zero, lead_days, 1), F.flatten(F.transform(known, own_stretch)))
 
 
 def text_list(values: Column, missing: str = "-") -> Column:
     """An array as one comma-separated text (for flat reports and comparisons)."""
     return F.array_join(F.transform(values, lambda v: v.cast("string")), ",", missing)
-
-
-def struct_of(names: Sequence[str], values: Sequence[Column]) -> Column:
-    return F.struct(*[v.alias(n) for n, v in zip(names, values, strict=True)])

@@ -14,8 +14,8 @@ TRUE_WORDS = ["t", "tr", "tru", "true", "y", "ye", "yes", "on", "1"]
 FALSE_WORDS = ["f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0"]
 BLANKS = " \t\n\r\f\v"
 
-# Fixed value: the decoration characters around a skill number.
-SKILL_NOISE = r"[\[\]#~()\s]+"
+# Fixed value: the decoration characters around a skill number; blanks go as well.
+SKILL_NOISE = "[]#~()"
 
 # Category names and their player-count limits.
 DUEL, FREE_FOR_ALL, SMALL_TEAM, LARGE_TEAM = "1v1", "FFA", "SmallTeam", "LargeTeam"
@@ -37,7 +37,7 @@ def nullif_cast(col: Column | str, to: str) -> Column:
 
 def clean_skill(col: Column | str) -> Column:
     """``"[16.67]"`` and its variants to a float; blank to NULL."""
-    return nullif_cast(F.regexp_replace(_col(col), SKILL_NOISE, ""), "float")
+    return nullif_cast(F.translate(_col(col), SKILL_NOISE + BLANKS, ""), "float")
 
 
 def pg_bool(col: Column | str) -> Column:

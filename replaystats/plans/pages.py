@@ -173,23 +173,25 @@ def factions_by_user(matches: DataFrame) -> DataFrame:
     return arrays.groupBy("user_id").agg(object_agg_all_first(F.col("category"), chart).alias("factionData"))
 
 
-def skill_history(daily: DataFrame, start, end, fill: str = "lag1") -> DataFrame:
+def skill_history(daily: DataFrame, start, end, fill: str = "lag1", scale: int | None = None) -> DataFrame:
     """(user, category, values): one value per day of [start, end], as an array.
 
     ``daily`` has at most one row per day of the window, so the points of a group are bounded.
+    ``scale`` rounds the known values, before they are repeated.
     """
-    first, last = _date(start), _date(end)
-    points = F.collect_list(F.struct("day", F.col("avg_skill").cast("double").alias("value")))
+    value, zero = F.col("avg_skill").cast("double"), F.lit(0.0)
+    if scale is not None:
+        value, zero = pg_round(value, scale), F.lit(0).cast(f"decimal(20,{scale})")
+    points = F.collect_list(F.struct("day", value.alias("value")))
     grouped = daily.groupBy("user_id", "category").agg(points.alias("points"))
-    return grouped.select("user_id", "category", fill_series(F.col("points"), first, last, fill).alias("values"))
+    series = fill_series(F.col("points"), _date(start), _date(end), fill, zero)
+    return grouped.select("user_id", "category", series.alias("values"))
 
 
 def skill_history_by_user(daily: DataFrame, start, end, fill: str = "lag1") -> DataFrame:
-    days = day_sequence(_date(start), _date(end))
-    labels = F.transform(days, lambda d: F.date_format(d, DAY))
-    rounded = F.transform("values", lambda v: pg_round(v, 1))
-    dataset = F.struct(F.col("category").alias("label"), rounded.alias("data"))
-    series = skill_history(daily, start, end, fill)
+    labels = F.transform(day_sequence(_date(start), _date(end)), lambda d: F.date_format(d, DAY))
+    dataset = F.struct(F.col("category").alias("label"), F.col("values").alias("data"))
+    series = skill_history(daily, start, end, fill, scale=1)
     listed = series.groupBy("user_id").agg(array_agg_ordered(dataset, F.col("category")).alias("datasets"))
     return listed.select("user_id", F.struct(labels.alias("labels"), "datasets").alias("skillHistory"))
 

@@ -56,6 +56,10 @@ def staging_root(spark: SparkSession) -> str:
     return folder
 
 
+# Staged tables of this process lie in one folder of their own, so that a run can drop them.
+_RUN = f"replaystats-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -64,6 +68,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     statistics, so the planner can choose broadcast joins from real sizes.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{_RUN}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this process. Call when no frame built on them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{_RUN}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

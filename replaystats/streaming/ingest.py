@@ -41,13 +41,15 @@ def land_batch(tables: Tables, quarantine: str):
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed = with_key_columns(batch)
+        # Read once: the insert uses the rows several times.
+        keyed = with_key_columns(batch).persist()
         good = keyed.filter(is_valid()).select("replay_id", "start_time", "raw_json")
         stored = tables.read(t.RAW_CACHE)
         new = insert_ignore(stored, good, ["replay_id"], [F.col("start_time").asc_nulls_last(), F.col("raw_json")])
         tables.append(t.RAW_CACHE, new)
         bad = keyed.filter(~is_valid()).select(*batch.columns)
         bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
+        keyed.unpersist()
 
     return write
 

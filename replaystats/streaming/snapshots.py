@@ -30,12 +30,14 @@ def append_snapshots(tables: Tables):
     """Batch writer. Only stored days that the batch touches can conflict, so only they are read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min(F.to_date("start_time")), F.max(F.to_date("start_time"))).first()
-        if span[0] is None:
-            return
-        stored = days_between(tables.read(t.SNAPSHOTS), *span)
-        new = insert_ignore(stored, batch, SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()])
-        tables.append(t.SNAPSHOTS, new)
+        # Computed once: the insert uses the rows several times, and they come out of a state store.
+        batch.persist()
+        first, last = batch.agg(F.min(F.to_date("start_time")), F.max(F.to_date("start_time"))).first()
+        if first is not None:
+            stored = days_between(tables.read(t.SNAPSHOTS), first, last)
+            new = insert_ignore(stored, batch, SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()])
+            tables.append(t.SNAPSHOTS, new)
+        batch.unpersist()
 
     return write
 
