@@ -40,20 +40,24 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_fallback: str | None = None
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's checkpoint folder.
 
     Only a local-mode session may fall back to a temporary folder, because other
     machines could not read it.
     """
+    global _fallback
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="replaystats-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if _fallback is None:
+        _fallback = tempfile.mkdtemp(prefix="replaystats-")
+    return _fallback
 
 
 # Staged tables of this process lie in one folder of their own, so that a run can drop them.

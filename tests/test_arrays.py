@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from replaystats.functions import arrays
+
+START = date(2025, 1, 1)
+
+
+def expected(points: dict[int, float | None], days: int, fill: str) -> list:
+    """Day by day, as the rule is stated."""
+    raw = [points.get(i) for i in range(days)]
+    if fill == "lag1":
+        return [v if v is not None else (0.0 if i == 0 else raw[i - 1]) for i, v in enumerate(raw)]
+    out, last = [], 0.0
+    for v in raw:
+        last = last if v is None else v
+        out.append(last)
+    return out
+
+
+def filled(spark, cases: list[dict], days: int, fill: str) -> list[list]:
+    data = [
+        (n, [(START + timedelta(days=i), v) for i, v in sorted(case.items(), reverse=True)]) for n, case in enumerate(cases)
+    ]
+    df = spark.createDataFrame(data, "n int, p array<struct<day: date, value: double>>")
+    end = START + timedelta(days=days - 1)
+    series = arrays.fill_series(F.col("p"), F.lit(START), F.lit(end), fill)
+    return [list(r[0]) for r in df.orderBy("n").select(series).collect()]
+
+
+def test_fill_series_gaps(spark):
+    cases = [{}, {0: 5.0}, {3: 5.0}, {2: 4.0, 5: 6.0}, {0: 1.0, 1: 2.0, 7: 3.0}, {4: None}, {1: 2.0, 2: None, 4: 3.0}]
+    for fill in ("lag1", "ffill"):
+        assert filled(spark, cases, 8, fill) == [expected(c, 8, fill) for c in cases]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.integers(0, 29), st.one_of(st.none(), st.floats(0, 60))), min_size=20, max_size=40))
+def test_fill_series_property(spark, cases):
+    for fill in ("lag1", "ffill"):
+        assert filled(spark, cases, 30, fill) == [expected(c, 30, fill) for c in cases]
+
+
+def test_fill_series_of_one_day(spark):
+    assert filled(spark, [{}, {0: 3.0}], 1, "lag1") == [[0.0], [3.0]]
+
+
+def test_ordered_aggregates(spark):
+    df = spark.createDataFrame([(1, "b", 2.0), (1, "a", None), (1, "c", 1.0)], "k int, name string, v double")
+    row = df.groupBy("k").agg(
+        arrays.array_agg_ordered(F.col("v"), F.col("name")).alias("up"),
+        arrays.array_agg_ordered(F.col("name"), F.col("name"), descending=True).alias("down"),
+        arrays.object_agg(F.col("name"), F.col("v")).alias("map"),
+    ).first()
+    assert row["up"] == [None, 2.0, 1.0]  # NULL values are kept
+    assert row["down"] == ["c", "b", "a"]
+    assert list(row["map"].items()) == [("a", None), ("b", 2.0), ("c", 1.0)]
+
+
+def test_all_comes_first(spark):
+    df = spark.createDataFrame([("1v1", 1), ("FFA", 2), ("All", 3)], "c string, v int")
+    got = df.agg(F.map_keys(arrays.object_agg_all_first(F.col("c"), F.col("v"))).alias("k")).first()["k"]
+    assert got == ["All", "1v1", "FFA"]
+
+
+def test_dense_counts(spark):
+    df = spark.createDataFrame([(0, 2), (2, 1), (-1, 9), (3, 9)], "b int, n long")
+    assert df.agg(arrays.dense_counts(F.col("b"), F.col("n"), 3)).first()[0] == [2, 0, 1]

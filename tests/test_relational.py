@@ -1,0 +1,175 @@
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from replaystats.operators import generators, joins, keyed, upserts
+from tests.conftest import rows, times
+
+
+def test_first_per_key_sorts_nulls_last(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 3, 3), ("b", None, 4)], "k string, o int, v int")
+    assert rows(keyed.first_per_key(df, ["k"], [F.col("o").asc_nulls_last()]), "k", "v") == [("a", 3), ("b", 4)]
+
+
+def test_top_n_keeps_rank(spark):
+    df = spark.createDataFrame([("a", i) for i in range(5)], "k string, o int")
+    assert rows(keyed.top_n_per_key(df, ["k"], [F.col("o").desc()], 2, rank="rn"), "o", "rn") == [(3, 2), (4, 1)]
+
+
+def test_prefer_left_union_modes(spark):
+    left = spark.createDataFrame([("x", "l", "1"), ("y", None, "2")], "id string, a string, b string")
+    right = spark.createDataFrame([("y", "r", "9"), ("z", "r", "3")], "id string, a string, b string")
+    assert rows(joins.prefer_left_union(left, right, "id", ["a", "b"])) == [("x", "l", "1"), ("y", None, "2"), ("z", "r", "3")]
+    got = rows(joins.prefer_left_union(left, right, "id", ["a", "b"], fieldwise=True))
+    assert got == [("x", "l", "1"), ("y", "r", "2"), ("z", "r", "3")]
+    # The left side was cut to a window: keys of the whole left side still shadow the right one.
+    got = rows(joins.prefer_left_union(left.filter("id = 'x'"), right, "id", ["a", "b"], left_keys=left))
+    assert got == [("x", "l", "1"), ("z", "r", "3")]
+
+
+def test_not_in_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
+    known = spark.createDataFrame([(1,), (None,)], "k int")
+    assert rows(joins.not_in(df, known, ["k"]), "v") == [("b",), ("c",)]
+
+
+def test_filter_new(spark):
+    listing = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 3), (None, 4), ("c", 5), ("c", 6)], "id string, n int"
+    )
+    seen = spark.createDataFrame([("b",), ("b",)], "id string")
+    new, skipped = joins.filter_new(listing, seen, "id", [F.col("n")])
+    assert rows(new) == [("a", 1), ("c", 5)]
+    assert skipped.first()[0] == 3
+    new, skipped = joins.filter_new(listing, seen, "id", [F.col("n")], force=True)
+    assert (new.count(), skipped.first()[0]) == (5, 0)
+    new, skipped = joins.filter_new(listing.filter("false"), seen, "id", [F.col("n")])
+    assert (new.count(), skipped.first()[0]) == (0, 0)
+
+
+def test_join_default_and_only_in(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    right = spark.createDataFrame([(2, 5), (2, 6)], "k int, n int")
+    assert rows(joins.join_default(left, right.filter("n = 5"), ["k"], {"n": 0})) == [(1, 0), (2, 5)]
+    assert rows(joins.only_in(left, right, ["k"])) == [(2,)]
+
+
+def test_densify(spark):
+    df = spark.createDataFrame([("a", 1, 7), ("a", 9, 8), ("b", -1, 3)], "k string, bin int, n int")
+    axis = F.sequence(F.lit(0), F.lit(2))
+    assert rows(joins.densify(df, ["k"], "bin", axis, "n", 0)) == [
+        ("a", 0, 0), ("a", 1, 7), ("a", 2, 0), ("b", 0, 0), ("b", 1, 0), ("b", 2, 0)
+    ]
+
+
+def test_calendar_includes_both_ends(spark):
+    days = generators.calendar(spark, date(2025, 1, 1), date(2025, 6, 18))
+    assert days.count() == 169
+    df = spark.createDataFrame([(1, "2025-01-30", "2025-02-01")], "k int, a string, b string")
+    assert generators.explode_days(df, "a", "b").count() == 3
+
+
+def test_insert_ignore_null_keys_never_conflict(spark):
+    target = spark.createDataFrame([("a", 1, 0), ("n", None, 0)], "k string, s int, v int")
+    batch = spark.createDataFrame(
+        [("a", 1, 1), ("b", 2, 9), ("b", 2, 2), ("n", None, 3), ("n", None, 4)], "k string, s int, v int"
+    )
+    got = rows(upserts.insert_ignore(target, batch, ["k", "s"], [F.col("v")]))
+    assert got == [("b", 2, 2), ("n", None, 3), ("n", None, 4)]
+    assert upserts.insert_ignore(target, batch.filter("false"), ["k", "s"]).count() == 0
+
+
+def players(spark, data):
+    columns = "user_id int, replay_id string, player_id int, start_time string"
+    df = times(spark.createDataFrame(data, columns), "start_time")
+    return df.select(
+        "*", *[F.lit(None).cast(t).alias(n) for n, t in (
+            ("name", "string"), ("ally_team_id", "int"), ("skill", "float"), ("rank", "int"),
+            ("country_code", "string"), ("faction", "string"), ("won", "boolean"))]
+    )
+
+
+def test_insert_match_players(spark):
+    order = [F.col("start_time").asc_nulls_last()]
+    stored = players(spark, [(1, "m1", 10, "2025-01-01"), (None, "m1", 77, "2025-01-01"), (None, "m1", None, "2025-01-01")])
+    batch = players(
+        spark,
+        [
+            (1, "m1", 11, "2025-01-01"),  # second player id of a stored user in a stored match: dropped
+            (2, "m1", 12, "2025-01-01"),
+            (1, "m2", 10, "2025-01-02"),
+            (1, "m2", 11, "2025-01-02"),  # second player id in a new match: kept
+            (1, "m2", 10, "2025-01-01"),  # repeat: the earlier one stays
+            (3, "m2", None, "2025-01-02"),
+            (3, "m2", None, "2025-01-02"),  # unknown player id: never a conflict
+            (None, "m1", 77, "2025-01-01"),  # stored unknown user
+            (None, "m1", 78, "2025-01-01"),
+            (None, "m1", 78, "2025-01-03"),
+            (None, "m1", None, "2025-01-01"),
+        ],
+    )
+    new = upserts.insert_match_players(stored, batch, order)
+    got = rows(new.withColumn("d", F.to_date("start_time").cast("string")), "user_id", "replay_id", "player_id", "d")
+    assert got == sorted(
+        [
+            (2, "m1", 12, "2025-01-01"),
+            (1, "m2", 10, "2025-01-01"),
+            (1, "m2", 11, "2025-01-02"),
+            (3, "m2", None, "2025-01-02"),
+            (3, "m2", None, "2025-01-02"),
+            (None, "m1", 78, "2025-01-01"),
+            (None, "m1", None, "2025-01-01"),
+        ],
+        key=repr,
+    )
+
+
+def test_upsert_changes_only_named_columns(spark):
+    target = spark.createDataFrame([("a", "old", 1), ("b", "old", 1)], "k string, c string, n int")
+    batch = spark.createDataFrame([("a", None, 5), ("z", "new", 5)], "k string, c string, n int")
+    assert rows(upserts.upsert(target, batch, ["k"], ["c"])) == [("a", None, 1), ("b", "old", 1), ("z", "new", 5)]
+    assert rows(upserts.upsert(target, batch, ["k"], ["c", "n"])) == [("a", None, 5), ("b", "old", 1), ("z", "new", 5)]
+
+
+def raw(spark, data):
+    return times(spark.createDataFrame(data, "replay_id string, start_time string, raw_json string"), "start_time")
+
+
+def test_age_out(spark):
+    cache = raw(
+        spark,
+        [
+            ("old", "2025-01-01 00:00:00", "c"),
+            ("old", "2025-01-01 01:00:00", "c2"),
+            ("edge", "2025-01-02 00:00:00", "c"),
+            ("new", "2025-01-02 12:00:00", "c"),
+            ("known", "2025-01-01 05:00:00", "c"),
+        ],
+    )
+    archive = raw(spark, [("known", "2025-01-01 05:00:00", "a")])
+    remaining, moved = upserts.age_out(cache, archive, "2025-01-03 00:00:00")
+    assert rows(remaining, "replay_id") == [("edge",), ("new",)]  # exactly 24 h old stays
+    assert rows(moved, "replay_id", "raw_json") == [("old", "c")]  # earliest copy; the known one is dropped
+    # Capped at one row: all copies of that match go with it.
+    remaining, moved = upserts.age_out(cache, archive, "2025-01-03 00:00:00", limit=1)
+    assert rows(remaining, "replay_id") == [("edge",), ("known",), ("new",)]
+    kept = {r.replay_id for r in remaining.collect()} | {r.replay_id for r in archive.unionByName(moved).collect()}
+    assert kept == {"old", "edge", "new", "known"}
+
+
+def test_explode_players_missing_parts(spark):
+    data = [
+        ("a", '{"AllyTeams": [{"allyTeamId": 1, "winningTeam": true, "Players": [{"userId": 5, "skill": "[1.5]"}]}]}'),
+        ("b", '{"AllyTeams": [{"allyTeamId": 1, "Players": []}, {"allyTeamId": 2}]}'),
+        ("c", '{"AllyTeams": []}'),
+        ("d", '{"AllyTeams": null}'),
+        ("e", "{}"),
+        ("f", '{"AllyTeams": [{"allyTeamId": "", "winningTeam": "off", "Players": [{"userId": "", "rank": "4"}]}]}'),
+    ]
+    df = spark.createDataFrame(data, "replay_id string, raw_json string")
+    got = rows(
+        generators.explode_players(df, keep=("replay_id",)), "replay_id", "user_id", "ally_team_id", "skill", "rank", "won"
+    )
+    assert got == [("a", 5, 1, 1.5, None, True), ("f", None, None, None, 4, False)]
