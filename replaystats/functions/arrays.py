@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,7 +70,6 @@ def fill_series(points: Column, start: Column, end: Column, fill: str = "lag1",
     if fill not in ("lag1", "ffill"):
         raise ValueError(f"unknown fill={fill!r}")
     zero = F.lit(0.0) if zero is None else zero
-    known = F.sort_array(F.filter(points, lambda p: p["value"].isNotNull()))
     after_end = F.date_add(end, 1)
 
     def stretch(value: Column, days: Column, held: int) -> Column:
@@ -77,12 +78,20 @@ def fill_series(points: Column, start: Column, end: Column, fill: str = "lag1",
         copies = F.least(days, F.lit(held))
         return F.concat(F.array_repeat(value, copies), F.array_repeat(F.lit(None), days - copies))
 
-    def own_stretch(point: Column, index: Column) -> Column:
-        following = F.coalesce(F.get(known, index + 1)["day"], after_end)
-        return stretch(point["value"], F.date_diff(following, point["day"]), 2)
+    def series(known: Column) -> Column:
+        def own_stretch(point: Column, index: Column) -> Column:
+            following = F.coalesce(F.get(known, index + 1)["day"], after_end)
+            return stretch(point["value"], F.date_diff(following, point["day"]), 2)
+
+        lead_days = F.date_diff(F.coalesce(F.get(known, F.lit(0))["day"], after_end), start)
+        return F.concat(stretch(zero, lead_days, 1), F.flatten(F.transform(known, own_stretch)))
+
+    return _bind(F.sort_array(F.filter(points, lambda p: p["value"].isNotNull())), series)
+
 
-    lead_days = F.date_diff(F.coalesce(F.get(known, F.lit(0))["day"], after_end), start)
-    return F.concat(stretch(zero, lead_days, 1), F.flatten(F.transform(known, own_stretch)))
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once although ``body`` uses it inside lambdas."""
+    return F.transform(F.array(value), body)[0]
 
 
 def text_list(values: Column, missing: str = "-") -> Column:

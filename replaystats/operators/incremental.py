@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replaystats.functions.scalars import in_window, ts_lit
-from replaystats.operators.upserts import upsert
 
 # Fixed values of the snapshot job: how far back late matches are re-read, and how fresh is too fresh.
 LOOKBACK = timedelta(hours=36)
@@ -54,5 +53,5 @@ def rows_in(df: DataFrame, window: ScanWindow, time: str = "start_time") -> Data
 
 def advance_watermark(meta: DataFrame, key: str, end: datetime) -> DataFrame:
     """The metadata table with the job's watermark set to the window end. Publish after the data."""
-    batch = meta.sparkSession.range(1).select(F.lit(key).alias("key"), ts_lit(end).alias("last_loaded_at"))
-    return upsert(meta, batch, ["key"], ["last_loaded_at"])
+    mark = meta.sparkSession.range(1).select(F.lit(key).alias("key"), ts_lit(end).alias("last_loaded_at"))
+    return meta.filter(~F.col("key").eqNullSafe(key)).unionByName(mark)
