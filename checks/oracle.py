@@ -148,6 +148,15 @@ adjusted AS (
     END AS as_rating
   FROM rated)"""
 
+TWO_WINDOWS = """WITH pages AS (
+  SELECT o_custkey AS user_id, o_orderdate >= TIMESTAMP '2000-01-01' AS late, count(*) AS games
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2000-07-01' GROUP BY 1, 2)
+SELECT user_id, '{"userId":' || user_id || ',"games":' || games || '}' AS json_data,
+  CASE WHEN late THEN TIMESTAMP '2000-06-30' ELSE TIMESTAMP '1999-12-31' END AS last_generated_at,
+  CASE WHEN late THEN DATE '2000-01-01' ELSE DATE '1995-01-01' END AS data_start_date,
+  CASE WHEN late THEN DATE '2000-06-30' ELSE DATE '1999-12-31' END AS data_end_date
+FROM pages QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY late DESC) = 1"""
+
 ORACLE = {
     "category_win_rate": f"""{ALL_MATCHES}
 SELECT category, count(*) FILTER (WHERE won) AS wins, count(*) FILTER (WHERE NOT won) AS losses,
@@ -336,14 +345,8 @@ SELECT u.user_id,
   CASE WHEN EXISTS (SELECT 1 FROM snaps s WHERE s.user_id = u.user_id) THEN CAST(169 AS BIGINT) ELSE 0 END AS labels,
   (SELECT count(*) FROM snaps s WHERE s.user_id = u.user_id) AS datasets
 FROM (SELECT DISTINCT user_id FROM base) u""",
-    "upsert_pages": """WITH pages AS (
-  SELECT o_custkey AS user_id, o_orderdate >= TIMESTAMP '2000-01-01' AS late, count(*) AS games
-  FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2000-07-01' GROUP BY 1, 2)
-SELECT user_id, '{"userId":' || user_id || ',"games":' || games || '}' AS json_data,
-  CASE WHEN late THEN TIMESTAMP '2000-06-30' ELSE TIMESTAMP '1999-12-31' END AS last_generated_at,
-  CASE WHEN late THEN DATE '2000-01-01' ELSE DATE '1995-01-01' END AS data_start_date,
-  CASE WHEN late THEN DATE '2000-06-30' ELSE DATE '1999-12-31' END AS data_end_date
-FROM pages QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY late DESC) = 1""",
+    "upsert_pages": TWO_WINDOWS,
+    "read_pages": f"SELECT user_id, json_data FROM ({TWO_WINDOWS}) WHERE data_end_date = DATE '1999-12-31'",
     "listing_filter": """SELECT o_orderkey AS replay_id, o_orderdate AS start_time FROM orders
 WHERE o_orderdate >= TIMESTAMP '1999-07-17' AND o_orderdate < TIMESTAMP '2000-01-02'
   AND o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'""",
@@ -368,4 +371,7 @@ SELECT user_id, part, CAST(coalesce(sum(length) OVER (PARTITION BY part ORDER BY
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset", length FROM parts""",
     "stream_snapshots": """SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS category,
   round(CAST(max(CAST(value AS REAL)) AS DOUBLE), 4) AS skill, ts AS start_time FROM events GROUP BY 1, 2, 4""",
+    "stream_daily_skill": """SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS category, CAST(ts AS DATE) AS day,
+  round(avg(CAST(CAST(value AS REAL) AS DOUBLE)), 4) AS avg_skill FROM events
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 36 HOUR GROUP BY 1, 2, 3""",
 }

@@ -125,14 +125,14 @@ def _decorated() -> Column:
 
 @query
 def clean_skill(v: Views) -> DataFrame:
-    lines = v.table("lineitem").withColumn("written", _decorated())
+    lines = v.spread("lineitem").withColumn("written", _decorated())
     return lines.select("l_orderkey", "l_linenumber", "written", r4(dbl(scalars.clean_skill("written"))).alias("skill"))
 
 
 @query
 def nullif_cast(v: Views) -> DataFrame:
     text = F.when(F.col("l_linenumber") == 7, "").otherwise(F.col("l_partkey").cast("string"))
-    lines = v.table("lineitem").withColumn("written", text)
+    lines = v.spread("lineitem").withColumn("written", text)
     return lines.select("l_orderkey", "l_linenumber", scalars.nullif_cast("written", "int").cast("long").alias("value"))
 
 
@@ -159,7 +159,7 @@ def json_extract_cast(v: Views) -> DataFrame:
 
 @query
 def pg_round(v: Views) -> DataFrame:
-    lines = v.table("lineitem").select(
+    lines = v.spread("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         (F.col("l_extendedprice") / 1000).cast("float").alias("single"),
@@ -247,7 +247,7 @@ def explode_players(v: Views) -> DataFrame:
     first = F.struct(F.col("l_linenumber").cast("string").alias("allyTeamId"), won.alias("winningTeam"), pair.alias("Players"))
     second = F.struct(F.lit("2").alias("allyTeamId"), F.lit("no").alias("winningTeam"), F.array_repeat(pair[0], 0).alias("Players"))
     teams = F.when(F.col("l_linenumber") != 7, F.array(first, second))
-    raw = v.table("lineitem").select(
+    raw = v.spread("lineitem").select(
         F.col("l_orderkey").alias("replay_id"),
         F.col("l_shipdate").alias("start_time"),
         F.to_json(F.struct(teams.alias("AllyTeams"))).alias("raw_json"),
@@ -647,8 +647,7 @@ def pages_json(v: Views) -> DataFrame:
     return page_plan.page_rows(pages, *WINDOW, ORDERS_AS_OF)
 
 
-@query
-def upsert_pages(v: Views) -> DataFrame:
+def _two_windows(v: Views) -> DataFrame:
     """Pages of two windows: users of the later window get the later page."""
 
     def page(rows: DataFrame, start: str, end: str) -> DataFrame:
@@ -668,6 +667,17 @@ def upsert_pages(v: Views) -> DataFrame:
     return page_plan.upsert_pages(old, new)
 
 
+@query
+def upsert_pages(v: Views) -> DataFrame:
+    return _two_windows(v)
+
+
+@query
+def read_pages(v: Views) -> DataFrame:
+    """The pages of exactly one window."""
+    return artifacts.read_pages(_two_windows(v), "1995-01-01", "1999-12-31").select("user_id", "json_data")
+
+
 # --- sources and sinks ---------------------------------------------------------------------------------
 
 
@@ -732,7 +742,7 @@ def split_valid(v: Views) -> DataFrame:
     time = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
     whole = F.to_json(F.struct(ident.alias("id"), time.alias("startTime"), F.lit(1).alias("x")))
     text = F.when(F.col("o_orderstatus") == "P", F.substring(whole, 1, 12)).otherwise(whole)
-    good, bad = meta.split_valid(v.table("orders").select(text.alias("raw_json"), F.lit("inbox").alias("path")))
+    good, bad = meta.split_valid(v.spread("orders").select(text.alias("raw_json"), F.lit("inbox").alias("path")))
     count = F.count("*").alias("n")
     days = good.groupBy(F.to_date("start_time").alias("day")).agg(count, F.max("replay_id").alias("last_id"))
     return days.unionByName(bad.agg(count).select(F.lit(None).cast("date").alias("day"), "n", F.lit(None).cast("string").alias("last_id")))
@@ -777,5 +787,16 @@ def stream_snapshots(v: Views) -> DataFrame:
     )
 
 
+@query
+def stream_daily_skill(v: Views) -> DataFrame:
+    """Daily means of the event stream, for the days that the watermark has closed."""
+    means = snapshot_streams.daily_skill_stream(_event_stream(v))
+    out = _scratch(v, "stream-daily")
+    writer = means.writeStream.outputMode("append").format("parquet").option("path", out)
+    writer.option("checkpointLocation", _scratch(v, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    rows = v.spark.read.schema(means.schema).parquet(out)
+    return rows.select("user_id", "category", "day", r4("avg_skill").alias("avg_skill"))
+
+
 def _scratch(v: Views, name: str) -> str:
     return f"{staging_root(v.spark)}/{name}-{uuid.uuid4().hex}"

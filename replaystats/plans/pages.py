@@ -8,7 +8,7 @@ join at the end finds every side already partitioned by user.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from replaystats.functions.arrays import (
     ALL,
     array_agg_ordered,
-    day_sequence,
     fill_series,
     object_agg,
     object_agg_all_first,
@@ -189,7 +188,9 @@ def skill_history(daily: DataFrame, start, end, fill: str = "lag1", scale: int |
 
 
 def skill_history_by_user(daily: DataFrame, start, end, fill: str = "lag1") -> DataFrame:
-    labels = F.transform(day_sequence(_date(start), _date(end)), lambda d: F.date_format(d, DAY))
+    # One literal for all users: the window has the same days for everybody.
+    first, last = agg.window_dates(start, end)
+    labels = F.lit([str(first + timedelta(days=n)) for n in range((last - first).days + 1)])
     dataset = F.struct(F.col("category").alias("label"), F.col("values").alias("data"))
     series = skill_history(daily, start, end, fill, scale=1)
     listed = series.groupBy("user_id").agg(array_agg_ordered(dataset, F.col("category")).alias("datasets"))

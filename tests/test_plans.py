@@ -30,7 +30,7 @@ def large_sides(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-STREAMED = {"stream_snapshots"}
+STREAMED = {"stream_snapshots", "stream_daily_skill"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in STREAMED])
