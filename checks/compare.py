@@ -44,8 +44,10 @@ def bag(columns: list[str], rows) -> Counter:
     return Counter(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
+def compare(spark, con, name: str, sf_dir: str, inspect=None) -> tuple[bool, str]:
     df = QUERIES[name](spark, sf_dir)
+    if inspect:
+        inspect(df)
     ours = bag(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLE:
         return True, f"rows={sum(ours.values())} (no SQL)"

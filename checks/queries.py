@@ -103,7 +103,7 @@ def derived_matches(v: Views) -> DataFrame:
         F.lit("stale").alias("game_version"),
         F.lit(0).alias("spectator_count"),
     )
-    batch = match_plan.match_batch(v.archive(), v.cache(), stale, v.players(), "1996-01-01")
+    batch = match_plan.match_batch(v.archive(), v.cache(), stale, lambda first, last: v.players(), "1996-01-01")
     out = match_plan.upsert_matches(stale, batch)
     return out.withColumn("avg_lobby_skill", r4(dbl("avg_lobby_skill")))
 

@@ -79,5 +79,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete the staged tables of this process. Call when no frame built on them is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{_RUN}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{staging_root(spark)}/{_RUN}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it lies."""
+    target, system = _on_file_system(spark, path)
+    system.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _on_file_system(spark, path)
+    return system.exists(target)
+
+
+def _on_file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from replaystats.schema import SEEN_ID
+from replaystats.session import exists
 
 # Name of a day folder, and the outcomes that count as downloaded.
 DAY_FOLDER = r"/(folder=)?L\d{4}-\d{2}-\d{2}Replays/[^/]+$"
@@ -21,12 +21,9 @@ def read_seen_ids(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json*")
     )
-    try:
-        lines = reader.json(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], SEEN_ID)
-        raise
+    if not exists(spark, root):
+        return spark.createDataFrame([], SEEN_ID)
+    lines = reader.json(root)
     in_day_folder = F.col("_metadata.file_path").rlike(DAY_FOLDER)
     return lines.filter(in_day_folder & F.col("gameId").isNotNull()).select("gameId").distinct()
 

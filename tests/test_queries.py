@@ -30,7 +30,13 @@ def test_entry(spark):
     assert spark_entry.entry(spark).count() > 0
 
 
+def no_python_no_cross_join(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, node
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees(spark, con, name):
-    good, text = compare(spark, con, name, SF_DIR)
+    good, text = compare(spark, con, name, SF_DIR, inspect=no_python_no_cross_join)
     assert good, text

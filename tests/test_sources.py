@@ -106,6 +106,24 @@ def test_tables(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(start_date" in plan
 
 
+def test_vacuum(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.vacuum(t.RAW_CACHE)  # nothing written yet
+    for n in range(3):
+        tables.replace(t.RAW_CACHE, raw(spark, [("a", "2025-01-01", str(n))]))
+
+    def data_folders():
+        return sorted(f.name for f in (tmp_path / t.RAW_CACHE).iterdir())
+
+    tables.vacuum(t.RAW_CACHE)
+    assert len(data_folders()) == 3  # retired just now: a reader may still be at work
+    tables.vacuum(t.RAW_CACHE, keep=timedelta(seconds=-5))
+    assert data_folders() == tables.folders(t.RAW_CACHE)
+    assert rows(tables.read(t.RAW_CACHE), "raw_json") == [("2",)]
+    log = [f for f in (tmp_path / "_folders" / t.RAW_CACHE).iterdir() if f.name.endswith(".parquet")]
+    assert len(log) == 1
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_index_slices_give_back_the_pages(spark, tmp_path, compression):
     pages = spark.createDataFrame([(i, json.dumps({"userId": i, "name": "ü" * (i % 7)}, ensure_ascii=False)) for i in range(40)], "user_id int, json_data string")
