@@ -48,15 +48,6 @@ def day_sequence(start: Column, end: Column) -> Column:
     return F.sequence(start, end, F.expr("INTERVAL 1 DAY"))
 
 
-def dense_counts(bins: Column, counts: Column, size: int) -> Column:
-    """Aggregate (bin, count) rows into a fixed array of ``size`` counts.
-
-    One fixed-width sum per slot: combines before the shuffle and needs no grid of
-    (key, bin) rows. Rows outside 0..size-1 have no slot.
-    """
-    return F.array(*[F.coalesce(F.sum(F.when(bins == i, counts)), F.lit(0)) for i in range(size)])
-
-
 def fill_series(points: Column, start: Column, end: Column, fill: str = "lag1", zero: Column | None = None) -> Column:
     """Sparse (day, value) points to one value per day of [start, end], as an array.
 

@@ -19,11 +19,11 @@ def not_in(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> DataFrame:
     broadcast. The rows with a NULL key part skip the joins, so they cannot pile up in one task.
     """
     keys = list(keys)
-    whole_key = _all_present(keys)
-    keyed = df.filter(whole_key)
+    has_key = all_present(keys)
+    keyed = df.filter(has_key)
     wanted = keyed.select(*keys).distinct()
     known = large.select(*keys).join(wanted, keys, "left_semi").distinct()
-    return keyed.join(known, keys, "left_anti").select(*df.columns).unionByName(df.filter(~whole_key))
+    return keyed.join(known, keys, "left_anti").select(*df.columns).unionByName(df.filter(~has_key))
 
 
 def only_in(df: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,7 +96,8 @@ def densify(
     return grid.select(*keys, axis, filled.alias(value))
 
 
-def _all_present(keys: Sequence[str]) -> Column:
+def all_present(keys: Sequence[str]) -> Column:
+    """No part of the key is NULL."""
     present = F.col(keys[0]).isNotNull()
     for k in keys[1:]:
         present = present & F.col(k).isNotNull()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replaystats.functions.scalars import older_than
-from replaystats.operators.joins import _all_present, not_in, only_in
+from replaystats.operators.joins import all_present, not_in, only_in
 from replaystats.operators.keyed import first_per_key, oldest_batch
 
 # Age and size of one move from the cache to the archive.
@@ -30,10 +30,10 @@ def insert_ignore(
     with a NULL part conflicts with nothing, so those rows all pass, around the joins.
     """
     keys = list(keys)
-    whole_key = _all_present(keys)
+    has_key = all_present(keys)
     order = order or [F.col(c).asc_nulls_last() for c in batch.columns if c not in keys] or [F.lit(0)]
-    unique = first_per_key(batch.filter(whole_key), keys, order)
-    return not_in(unique, target, keys).unionByName(batch.filter(~whole_key))
+    unique = first_per_key(batch.filter(has_key), keys, order)
+    return not_in(unique, target, keys).unionByName(batch.filter(~has_key))
 
 
 def insert_match_players(target: DataFrame, batch: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -55,8 +55,8 @@ def insert_match_players(target: DataFrame, batch: DataFrame, order: Sequence[Co
 
 
 def _first_of_whole_keys(batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    whole_key = _all_present(keys)
-    return first_per_key(batch.filter(whole_key), keys, order).unionByName(batch.filter(~whole_key))
+    has_key = all_present(keys)
+    return first_per_key(batch.filter(has_key), keys, order).unionByName(batch.filter(~has_key))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:

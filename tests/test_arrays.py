@@ -66,8 +66,3 @@ def test_all_comes_first(spark):
     df = spark.createDataFrame([("1v1", 1), ("FFA", 2), ("All", 3)], "c string, v int")
     got = df.agg(F.map_keys(arrays.object_agg_all_first(F.col("c"), F.col("v"))).alias("k")).first()["k"]
     assert got == ["All", "1v1", "FFA"]
-
-
-def test_dense_counts(spark):
-    df = spark.createDataFrame([(0, 2), (2, 1), (-1, 9), (3, 9)], "b int, n long")
-    assert df.agg(arrays.dense_counts(F.col("b"), F.col("n"), 3)).first()[0] == [2, 0, 1]
