@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replaystats.llm import bpe, line_dedup, quality
+from replaystats.llm import bpe, decontaminate, jaccard_join, licenses, line_dedup, lm_score, quality, suffix_dedup, toxicity, warc
 from replaystats.llm.sql import SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,11 +28,49 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = _read(spark, sf_dir, "labels", "doc_id", "toxic").filter(~apart)
+    model = toxicity.train(docs, labels)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.find_leaks(docs, _read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    manifest = warc.write(_read(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    back = warc.read(manifest, folder, payloads=False)
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_read(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find_repeats(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_read(spark, sf_dir, "documents", "doc_id", "text"), RANKS, public_tokenizers.PATTERN)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(_read(spark, sf_dir, "documents", "doc_id", "text"))
     return rated.drop("text")
@@ -40,7 +78,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
+    "op7_licenses": op7_licenses,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_lm_score": op9_lm_score,
     "op10_quality": op10_quality,
 }
 ORACLE = {name: text for name, text in SQL.items() if name in QUERIES}

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+from replaystats.llm.suffix_dedup import find_repeats
+from tests.llm.cases import documents, edges, words
+
+
+def brute(rows, size):
+    lists = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    holders = defaultdict(set)
+    for ident, w in lists:
+        for s in range(len(w) - size + 1):
+            holders[tuple(w[s : s + size])].add(ident)
+    out = set()
+    for ident, w in lists:
+        now = None
+        for s in range(len(w) - size + 1):
+            if len(holders[tuple(w[s : s + size])]) < 2:
+                continue
+            if now and s <= now[1]:
+                now[1] = s + size
+            else:
+                if now:
+                    out.add((ident, *now))
+                now = [s, s + size]
+        if now:
+            out.add((ident, *now))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted({(r["doc_id"], r["start_word"], r["end_word"]) for r in df.collect()}, key=repr)
+
+
+def corpus(seed, size):
+    rng = random.Random(seed)
+    passages = [words(rng, n, 5000) for n in (size - 1, size, size + 1, size + 9, 3 * size)]
+    rows = []
+    for i in range(70):
+        text = words(rng, rng.randint(0, 90), 5000)
+        for _ in range(rng.randint(0, 2)):
+            own = rng.choice(passages)
+            own = own[rng.randint(0, 4) :] if rng.random() < 0.4 else own
+            at = rng.randint(0, len(text))
+            text = text[:at] + own + text[at:]
+        rows.append((i, " ".join(text)))
+    rows += [(100, rows[3][1]), (101, rows[3][1].upper()), (3, rows[3][1]), (102, " ".join(["same"] * 200)), (103, " ".join(passages[1] * 3))]
+    return rows
+
+
+def test_exact(spark):
+    rows = corpus(1, 20)
+    assert got(find_repeats(documents(spark, rows), min_words=20, gram=11, salts=3)) == brute(rows, 20)
+
+
+def test_production_parameters(spark):
+    rows = corpus(2, 50) + edges()
+    df = find_repeats(documents(spark, rows))
+    assert got(df) == brute(rows, 50)
+    holders = {r["doc_id"]: r["other_id"] for r in df.collect()}
+    assert all(a != b for a, b in holders.items())
+
+
+def test_empty(spark):
+    assert find_repeats(documents(spark, [])).collect() == []
