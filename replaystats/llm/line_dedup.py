@@ -120,16 +120,18 @@ def dedup_lines(
     min_docs: int = 3,
     batches: int = 4,
     fanout: int = 2,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, text, n_lines, n_dropped) per input row.
+    """(id, text, n_lines, n_dropped) per input row, and the columns named in ``carry``.
 
     A line's key is the line without blanks at its ends, A-Z lower-cased. Keys of at least
     ``min_chars`` characters found in at least ``min_docs`` documents lose all their lines except
     those of the largest id holding them; the other lines are joined again.
     """
     spark = docs.sparkSession
-    docs = pick(docs, id_col, text_col).toDF("id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    keys = stage(line_keys(docs, min_chars), "line-keys")
+    docs = pick(docs, id_col, text_col, *carry).toDF("id", "text", *(f"carry_{i}" for i in range(len(carry))))
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    keys = stage(line_keys(docs.select("id", "text"), min_chars), "line-keys")
     bounds = keys.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
     runs = LineRuns(spark, min_docs, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
     low, high = bounds["low"], bounds["high"]
@@ -163,4 +165,5 @@ def dedup_lines(
         .alias(text_col),
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        *(F.col(f"carry_{i}").alias(name) for i, name in enumerate(carry)),
     )

@@ -201,3 +201,19 @@ def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str
 
     kind = docs.schema.fields[docs.columns.index(id_col)].dataType.simpleString()
     return pick(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+
+
+def reject(docs: DataFrame, model: Machine, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns; a map without a shuffle."""
+    small_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, hashes = sent.value, WordHash()
+        for batch in source:
+            if len(batch):
+                found = [terms(t or "", hashes, len(machine.slot)) for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(machine.score(found) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
