@@ -16,8 +16,7 @@ from __future__ import annotations
 import base64
 import functools
 import zlib
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,10 @@ from replaystats.llm.text import batches, small_batches
 SHORT = 32  # bytes; pieces up to here share a batch of trees
 CACHE_WORDS = 400_000
 GROUP_CHARS = 2 << 20
-_NONE = np.int64(1) << 40
+# Blanks beside a space, and blanks that are neither space nor line feed (fixed values of the pattern).
+LOOSE = ("  ", " \n", "\n ", *map(chr, (9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+SIGNS = ".,;:!?#*$%&|<>()[]{}\"-"
+_NONE = 1 << 20  # above any rank
 
 
 def read_ranks(path: str) -> bytes:
@@ -45,8 +47,9 @@ class ByteBpe:
     def __init__(self, rank_file: bytes, pattern: str):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_file.splitlines())}
         self.pattern = regex.compile(pattern)
-        self.blank_run = regex.compile(r"\s\s")
         self.size = max(self.ranks.values(), default=0) + 1
+        if self.size > _NONE:
+            raise ValueError("too many ranks")
         pairs = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -55,7 +58,7 @@ class ByteBpe:
                     pairs[left * self.size + right] = rank
         self.pairs = pairs
         self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[int(k)] for k in self.pair_keys], np.int64)
+        self.pair_ranks = np.array([pairs[int(k)] for k in self.pair_keys], np.int32)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         by_rank = sorted((rank, token) for token, rank in self.ranks.items())
         self.lengths = np.full(self.size, -1, np.int64)
@@ -65,119 +68,135 @@ class ByteBpe:
             self.lengths[rank], self.starts[rank] = len(token), at
             at += len(token)
         self.bytes = np.frombuffer(b"".join(token for _, token in by_rank), np.uint8)
-        self.words: dict[str, tuple[int, ...]] = {}  # by word, of the word with a space before it
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}  # by word, packed ids of the word with a space before it
+        self.pieces: dict[str, bytes] = {}
 
     # -- encoding -------------------------------------------------------------------------
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. The pattern never matches across a blank that follows a non-blank, and
         takes a single space to the word behind it, so words repeat and are encoded once."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
+        for known in (self.words, self.pieces):
+            if len(known) > CACHE_WORDS:
+                known.clear()
         split, loose = [], []
         for text in texts:
-            if self.blank_run.search(text):
-                split.append(None)
+            if any(blank in text for blank in LOOSE):
+                split.append([])
                 loose.append(self.pattern.findall(text))
             else:
                 first, *rest = text.split(" ")
                 split.append(rest)
                 loose.append(self.pattern.findall(first))
-        new_words = set().union(*(s for s in split if s is not None)) - self.words.keys()
-        cut = {word: self.pattern.findall(" " + word) for word in new_words}
-        new_pieces = set().union(*loose, *cut.values()) - self.pieces.keys()
-        self._learn(new_pieces)
+        new = set().union(*split) - self.words.keys()
+        # A word of ASCII letters is one piece with its space; signs behind it are another.
+        bodies = {word: word.rstrip(SIGNS) for word in new}
+        plain = {body for body in bodies.values() if body.isascii() and body.isalpha()}
+        cut = {word: self.pattern.findall(" " + word) for word, body in bodies.items() if body not in plain}
+        signs = {word[len(body) :] for word, body in bodies.items() if len(body) < len(word) and body in plain}
+        self._learn(self.pieces, {p: p for p in set().union(signs, *loose, *cut.values()) - self.pieces.keys()})
+        self._learn(self.words, {body: " " + body for body in plain - self.words.keys()})
+        pieces, words = self.pieces, self.words
         for word, parts in cut.items():
-            self.words[word] = tuple(chain.from_iterable(map(self.pieces.__getitem__, parts)))
-        out = []
-        for rest, parts in zip(split, loose, strict=True):
-            ids = list(chain.from_iterable(map(self.pieces.__getitem__, parts)))
-            if rest is not None:
-                ids.extend(chain.from_iterable(map(self.words.__getitem__, rest)))
-            out.append(ids)
-        return out
-
-    def _learn(self, pieces: Iterable[str]) -> None:
+            words[word] = b"".join([pieces[p] for p in parts])
+        for word, body in bodies.items():
+            if body in plain and len(body) < len(word):
+                words[word] = words[body] + pieces[word[len(body) :]]
+        return [
+            np.frombuffer(b"".join([*map(pieces.__getitem__, parts), *map(words.__getitem__, rest)]), np.int32)
+            for rest, parts in zip(split, loose, strict=True)
+        ]
+
+    def _learn(self, known: dict[str, bytes], texts: dict[str, str]) -> None:
+        """Put the ids of pieces, as packed numbers, into ``known``. texts: by key, the piece."""
         by_leaves: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces:
+        for key, piece in texts.items():
             raw = piece.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
-                self.pieces[piece] = (whole,)
+                known[key] = whole.to_bytes(4, "little")
             elif len(raw) > SHORT:
-                self.pieces[piece] = tuple(self.merge_one(raw))
+                known[key] = np.array(self.merge_one(raw), "<i4").tobytes()
             else:
-                by_leaves.setdefault(max(4, 1 << (len(raw) - 1).bit_length()), []).append((piece, raw))
+                by_leaves.setdefault(max(4, 1 << (len(raw) - 1).bit_length()), []).append((key, raw))
         for leaves, group in by_leaves.items():
-            for part in batches(iter(group), 20_000):
-                for (piece, _), ids in zip(part, self.merge_many([raw for _, raw in part], leaves), strict=True):
-                    self.pieces[piece] = ids
+            for low in range(0, len(group), 8000):
+                part = group[low : low + 8000]
+                for (key, _), ids in zip(part, self.merge_many([raw for _, raw in part], leaves), strict=True):
+                    known[key] = ids
 
     def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left * self.size + right
+        keys = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NONE)
 
-    def merge_many(self, raws: list[bytes], leaves: int) -> list[tuple[int, ...]]:
+    def merge_many(self, raws: list[bytes], leaves: int) -> list[bytes]:
         """Merge pieces of at most ``leaves`` bytes, each in its own tree, one merge of all a step."""
         n = len(raws)
-        size = np.fromiter(map(len, raws), np.int64, n)
+        size = np.fromiter(map(len, raws), np.int32, n)
         padded = np.frombuffer(b"".join(r.ljust(leaves, b"\0") for r in raws), np.uint8).reshape(n, leaves)
-        ids = self.byte_ids[padded]
-        place = np.arange(leaves)
+        ids = self.byte_ids[padded].astype(np.int32)
+        place = np.arange(leaves, dtype=np.int32)
         live = place < size[:, None]
-        after = np.tile(place + 1, (n, 1))
-        before = np.tile(place - 1, (n, 1))
-        tree = np.full((n, 2 * leaves), _NONE * leaves, np.int64)
-        rank = self._pair_rank(ids[:, :-1], ids[:, 1:])
-        tree[:, leaves : 2 * leaves - 1] = np.where(live[:, 1:], rank * leaves + place[:-1], _NONE * leaves)
-        for node in range(leaves - 1, 0, -1):
-            tree[:, node] = np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1])
+        after = np.tile(place + 1, (n, 1)).ravel()
+        before = np.tile(place - 1, (n, 1)).ravel()
+        none = np.int32(_NONE * leaves)
+        rank = np.full((n, leaves - 1), _NONE, np.int32)
+        inside = live[:, 1:]
+        rank[inside] = self._pair_rank(ids[:, :-1][inside], ids[:, 1:][inside])
+        tree = np.full((n, 2 * leaves), none, np.int32)
+        tree[:, leaves : 2 * leaves - 1] = np.where(rank < _NONE, rank * leaves + place[:-1], none)
+        node = leaves
+        while node > 1:
+            tree[:, node // 2 : node] = np.minimum(tree[:, node : 2 * node : 2], tree[:, node + 1 : 2 * node : 2])
+            node //= 2
+        ids, live, tree = ids.ravel(), live.ravel(), tree.ravel()
 
         def put(row, leaf, value):
+            """Set a leaf of each row's tree and the nodes above it. row: where the row's tree starts."""
             node = leaf + leaves
-            tree[row, node] = value
-            while leaves > 1 and node[0] > 1:
+            tree[row + node] = value
+            for _ in range(leaves.bit_length() - 1):
                 node = node >> 1
-                tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
+                pair = row + 2 * node
+                tree[row + node] = np.minimum(tree[pair], tree[pair + 1])
 
         row = np.arange(n)
         while True:
-            row = row[tree[row, 1] < _NONE]
+            best = tree[row * 2 * leaves + 1]
+            going = best < none
+            row, best = row[going], best[going]
             if not len(row):
                 break
-            best = tree[row, 1]
+            base, root = row * leaves, row * 2 * leaves
             at, merged = best % leaves, best // leaves
-            gone = after[row, at]
-            behind = after[row, gone]
-            ids[row, at] = merged
-            live[row, gone] = False
-            after[row, at] = behind
+            gone = after[base + at]
+            behind = after[base + gone]
+            ids[base + at] = merged
+            live[base + gone] = False
+            after[base + at] = behind
             has = behind < size[row]
-            put(row, gone, _NONE * leaves)
-            right = np.full(len(row), _NONE)
-            r, b = row[has], behind[has]
-            before[r, b] = at[has]
-            right[has] = self._pair_rank(merged[has], ids[r, b])
-            put(row, at, np.where(right < _NONE, right * leaves + at, _NONE * leaves))
-            left = before[row, at]
+            value = np.full(len(row), none, np.int32)
+            b = base[has] + behind[has]
+            before[b] = at[has]
+            right = self._pair_rank(merged[has], ids[b])
+            value[has] = np.where(right < _NONE, right * leaves + at[has], none)
+            put(root, gone, none)
+            put(root, at, value)
+            left = before[base + at]
             has = left >= 0
-            if has.any():
-                r, p = row[has], left[has]
-                value = self._pair_rank(ids[r, p], merged[has])
-                put(r, p, np.where(value < _NONE, value * leaves + p, _NONE * leaves))
-        flat = ids[live].tolist()
-        ends = np.cumsum(live.sum(1)).tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            p = left[has]
+            rank = self._pair_rank(ids[base[has] + p], merged[has])
+            put(root[has], p, np.where(rank < _NONE, rank * leaves + p, none))
+        flat = ids[live].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(live.reshape(n, leaves).sum(1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def merge_one(self, raw: bytes) -> list[int]:
         """Merge one piece of any length in O(n log n)."""
         n = len(raw)
         leaves = 1 << max(1, (n - 1).bit_length())
-        none = int(_NONE) * leaves
+        none = _NONE * leaves
         ids = self.byte_ids[np.frombuffer(raw, np.uint8)].tolist()
         pairs, size = self.pairs, self.size
         tree = [none] * (2 * leaves)
@@ -292,7 +311,7 @@ def encode(df: DataFrame, text: str, rank_path: str, pattern: str, out: str = "t
             values, ends = [], [0]
             for group in batches(iter(texts), GROUP_CHARS, len):
                 for ids in coder.encode_all(group):
-                    values.append(np.array(ids, np.int32))
+                    values.append(ids)
                     ends.append(ends[-1] + len(ids))
             flat = np.concatenate(values) if values else np.empty(0, np.int32)
             yield _with(batch, out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))

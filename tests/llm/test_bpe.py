@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import random
 
 import public_tokenizers as P
@@ -31,20 +30,20 @@ def oracle():
 @given(st.text(alphabet=st.one_of(st.sampled_from("ab'sTtre  \n\t\x1c\x85 é漢1²½🙂́"), st.characters(codec="utf-8")), max_size=80))
 def test_as_tiktoken(coder, oracle, text):
     (ids,) = coder.encode_all([text])
-    assert ids == oracle.encode_ordinary(text)
-    assert coder.decode_flat(bpe.np.array(ids, int), bpe.np.array([len(ids)]))[0].tobytes() == text.encode()
+    assert ids.tolist() == oracle.encode_ordinary(text)
+    assert coder.decode_flat(ids.astype(int), bpe.np.array([len(ids)]))[0].tobytes() == text.encode()
 
 
 def test_long_pieces(coder, oracle):
     rng = random.Random(1)
     texts = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (31, 32, 33, 64, 5000)] + ["a" * 4000, " " * 999]
-    assert coder.encode_all(texts) == [oracle.encode_ordinary(t) for t in texts]
+    assert [ids.tolist() for ids in coder.encode_all(texts)] == [oracle.encode_ordinary(t) for t in texts]
 
 
 def test_one_tree_as_many(coder):
     rng = random.Random(2)
     raws = [bytes(rng.randrange(256) for _ in range(rng.randint(2, 16))) for _ in range(300)]
-    assert coder.merge_many(raws, 16) == [tuple(coder.merge_one(r)) for r in raws]
+    assert [bpe.np.frombuffer(ids, "<i4").tolist() for ids in coder.merge_many(raws, 16)] == [coder.merge_one(r) for r in raws]
 
 
 def test_rows(spark, oracle):
@@ -66,4 +65,3 @@ def test_empty_and_bad(spark):
     wrong = spark.createDataFrame([([10**7],)], "ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):
         bpe.decode(wrong, "ids", RANKS, P.PATTERN).collect()
-    assert hashlib.sha256(b"").hexdigest()
