@@ -99,22 +99,30 @@ def _sets(batch: pa.RecordBatch, hashes: WordHash, rule: Rule, column: int) -> I
 
 
 def set_table(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(row id, id, n, digest, shingles of small sets) per document. docs: (row, id, raw)."""
+    """(row, id, n, digest, numbers) per document, with the shingles of small sets as ``numbers``; and per
+    task one row of n = -1 whose numbers say how many shingles fell into each counter. docs: (row, id, raw)."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
+        hashes, counts = WordHash(), np.zeros(SLOTS, np.int64)
         for batch in source:
-            sizes, digests, small = [], [], []
+            sizes, digests, small, held = [], [], [], [np.empty(0, np.int64)]
             for found in _sets(batch, hashes, rule, 2):
                 sizes.append(len(found))
                 digests.append(_digest(found) if len(found) else None)
                 small.append(found.view(np.int64) if 0 < len(found) <= MAX_SMALL else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(small, pa.list_(pa.int64()))],
-                names=["row", "id", "n", "digest", "small"],
-            )
+                held.append(_slots(found))
+            counts += np.bincount(np.concatenate(held), minlength=SLOTS)
+            yield out(batch.column(0), batch.column(1), sizes, digests, small)
+        none = pa.array([None], pa.int64())
+        yield out(none, none, [-1], [None], [counts])
+
+    def out(row, ident, sizes, digests, numbers) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [row, ident, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(numbers, pa.list_(pa.int64()))],
+            names=["row", "id", "n", "digest", "numbers"],
+        )
 
-    return docs.mapInArrow(run, "row long, id long, n long, digest binary, small array<long>")
+    return docs.mapInArrow(run, "row long, id long, n long, digest binary, numbers array<long>")
 
 
 def small_links(classes: DataFrame, rule: Rule, limit: int) -> DataFrame:
@@ -155,26 +163,11 @@ def _slots(found: np.ndarray) -> np.ndarray:
     return (found % np.uint64(SLOTS)).astype(np.int64)
 
 
-def count_table(docs: DataFrame, rule: Rule) -> np.ndarray:
+def count_table(table: DataFrame) -> np.ndarray:
     """How many documents' shingles fall into each of SLOTS counters: a fixed size at any scale."""
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts, held, size = WordHash(), np.zeros(SLOTS, np.int64), [], 0
-        for batch in source:
-            for found in _sets(batch, hashes, rule, 0):
-                held.append(_slots(found))
-                size += len(found)
-                if size > 1 << 20:
-                    counts += np.bincount(np.concatenate(held), minlength=SLOTS)
-                    held, size = [], 0
-        if held:
-            counts += np.bincount(np.concatenate(held), minlength=SLOTS)
-        slot = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(counts[slot])], names=["slot", "c"])
-
     total = np.zeros(SLOTS, np.int64)
-    counted = docs.select("raw").mapInArrow(run, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
-    for row in counted.toLocalIterator():
+    counted = table.filter("n = -1").select(F.posexplode("numbers").alias("slot", "c")).filter("c > 0")
+    for row in counted.groupBy("slot").agg(F.sum("c").alias("c")).toLocalIterator():
         total[row["slot"]] = row["c"]
     return total
 
@@ -367,14 +360,15 @@ def link(
     raw = pick(docs, id_col, text_col).toDF("id", "raw")
     raw = raw.select(F.col("id").cast("long"), F.col("raw").cast("binary"))
     raw = raw.select(F.coalesce("id", F.xxhash64("raw")).alias("row"), "id", "raw")
-    sets = stage(set_table(raw, rule), "sets")
+    table = stage(set_table(raw, rule), "sets")
+    sets = table.filter("n >= 0")
     classes = stage(
-        sets.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("small").alias("small")),
+        sets.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("numbers").alias("small")),
         "classes",
     )
     histogram = classes.filter(F.col("n") <= MAX_SMALL).groupBy("n").count().collect()  # MAX_SMALL rows at most
     limit = boundary(rule, {r["n"]: r["count"] for r in histogram})
-    found = stage(list_pairs(entries(raw, rule, limit, count_table(raw, rule), hot), rule, limit, light), "pairs")
+    found = stage(list_pairs(entries(raw, rule, limit, count_table(table), hot), rule, limit, light), "pairs")
     ends = found.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     held = stage(contents(raw, classes.select("row", "digest").join(ends, "digest"), rule), "contents")
     held = held.dropDuplicates(["digest"])
