@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from replaystats.functions.scalars import FALSE_WORDS, TRUE_WORDS
+# The words that a PostgreSQL boolean takes.
+TRUE_WORDS = ["t", "tr", "tru", "true", "y", "ye", "yes", "on", "1"]
+FALSE_WORDS = ["f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0"]
 
 PLAYERS = """players AS (
   SELECT l_suppkey AS user_id, l_orderkey AS replay_id, l_linestatus || '-' || l_returnflag AS name,
@@ -74,7 +76,7 @@ FACTIONS = """factions AS (
 
 HISTORY_GRID = """daily AS (
   SELECT user_id, event_type AS category, CAST(ts AS DATE) AS day, avg(value) AS skill
-  FROM events WHERE value > 18 AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31' GROUP BY ALL),
+  FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31' GROUP BY ALL),
 grid AS (
   SELECT k.user_id, k.category, CAST(d.day AS DATE) AS day, skill
   FROM (SELECT DISTINCT user_id, category FROM daily) k
@@ -99,8 +101,7 @@ cache AS ({document_rows("cache", "o_orderdate >= TIMESTAMP '1999-01-01'")})"""
 AGED = f"""docs AS ({document_rows("cache", "true")}),
 stored AS (SELECT o_orderkey AS replay_id FROM orders WHERE o_orderstatus = 'F'),
 oldest AS (
-  SELECT replay_id FROM docs WHERE start_time < TIMESTAMP '1999-12-31'
-  ORDER BY start_time, replay_id LIMIT 10000)"""
+  SELECT replay_id FROM docs WHERE start_time < TIMESTAMP '1999-12-31')"""
 
 LISTING = """listed AS (
   SELECT *, CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS id FROM lineitem),
@@ -263,8 +264,11 @@ SELECT * FROM fresh
 QUALIFY player_id IS NULL
   OR row_number() OVER (PARTITION BY replay_id, user_id, player_id ORDER BY start_time, faction, skill, rank) = 1""",
     "upsert_partial": """WITH stored AS (SELECT c_custkey, c_name, c_mktsegment, round(c_acctbal, 2) AS c_acctbal FROM customer WHERE c_acctbal >= 0),
-batch AS (SELECT o_custkey AS c_custkey, 'new' AS c_name, max(o_orderpriority) AS c_mktsegment, max(o_totalprice) AS c_acctbal
-  FROM orders GROUP BY o_custkey)
+spent AS (SELECT o_custkey AS c_custkey, 'new' AS c_name, max(o_orderpriority) AS c_mktsegment, max(o_totalprice) AS c_acctbal
+  FROM orders GROUP BY o_custkey),
+batch AS (SELECT * FROM spent UNION ALL
+  SELECT c_custkey, c_name, c_mktsegment, round(c_acctbal, 2) FROM customer
+  WHERE c_acctbal < 0 AND c_custkey NOT IN (SELECT c_custkey FROM spent))
 SELECT c_custkey, coalesce(s.c_name, b.c_name) AS c_name, coalesce(b.c_mktsegment, s.c_mktsegment) AS c_mktsegment,
        coalesce(b.c_acctbal, s.c_acctbal) AS c_acctbal FROM stored s FULL JOIN batch b USING (c_custkey)""",
     "age_out_cache": f"""WITH {AGED}

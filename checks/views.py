@@ -27,15 +27,6 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row, such as building and parsing documents.
-
-        The test tables are one row group each, which one task reads. Only such a table with
-        fewer splits than cores is spread over them; a large table has splits enough.
-        """
-        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def players(self, lines: DataFrame | None = None) -> DataFrame:
         lines = self.table("lineitem") if lines is None else lines
         return lines.select(
@@ -60,7 +51,7 @@ class Views:
     def matches(self) -> DataFrame:
         """The match table. Staged, as in the pipeline, where it is a stored table."""
         if self._matches is None:
-            stats = lobby_stats(self.players(self.spread("lineitem")))
+            stats = lobby_stats(self.players(self.table("lineitem")))
             joined = self.orders().join(stats, "replay_id")
             category = match_category("player_count", "team_count")
             self._matches = stage(joined.withColumn("category", category), "matches")
@@ -85,7 +76,7 @@ class Views:
         return self._documents("cache").filter(F.col("start_time") >= "1999-01-01")
 
     def _documents(self, origin: str) -> DataFrame:
-        orders = self.spread("orders")
+        orders = self.table("orders")
         document = F.to_json(
             F.struct(
                 F.col("o_custkey").cast("string").alias("mapId"),

@@ -81,11 +81,12 @@ def pg_round(col: Column | str, scale: int, single: bool = False) -> Column:
 
     The source database turns a real into a numeric through 6 significant digits and a
     double through 15, and rounds that. Rounding the binary value differs: 16.05 as a
-    real lies below 16.05 and would give 16.0, not 16.1.
+    real lies below 16.05 and would give 16.0, not 16.1. NaN and infinity have no decimal and
+    give NULL, so that one bad value does not stop a run.
     """
     digits = 6 if single else 15
     text = F.format_string(f"%.{digits - 1}e", _col(col).cast("double"))
-    return F.when(_col(col).isNotNull(), F.round(text.cast("decimal(38,18)"), scale).cast(f"decimal(20,{scale})"))
+    return F.when(_col(col).isNotNull(), F.round(text.try_cast("decimal(38,18)"), scale).cast(f"decimal(20,{scale})"))
 
 
 def in_window(col: Column | str, start, end=None, closed: str = "both") -> Column:

@@ -26,13 +26,19 @@ ACTIVE_DAYS = 84
 def lobby_stats(players: DataFrame) -> DataFrame:
     """Per match: distinct players, distinct teams, mean skill, over rows with user and skill.
 
-    Distinct counts are aggregated by (match, player) first, so one crowded match is spread.
+    Grouped by (match, team, player) first, so one crowded match is spread, and then by match,
+    where the distinct sets are as large as the match. Two distinct counts side by side would
+    multiply the rows before the first shuffle.
     """
     rated = players.filter(F.col("user_id").isNotNull() & F.col("skill").isNotNull())
-    return rated.groupBy("replay_id").agg(
-        F.count_distinct("player_id").alias("player_count"),
-        F.count_distinct("ally_team_id").alias("team_count"),
-        F.avg("skill").cast("float").alias("avg_lobby_skill"),
+    skill = F.col("skill").cast("double")
+    seats = rated.groupBy("replay_id", "ally_team_id", "player_id").agg(
+        F.sum(skill).alias("skill"), F.count("skill").alias("rows")
+    )
+    return seats.groupBy("replay_id").agg(
+        F.size(F.collect_set("player_id")).cast("long").alias("player_count"),
+        F.size(F.collect_set("ally_team_id")).cast("long").alias("team_count"),
+        (F.sum("skill") / F.sum("rows")).cast("float").alias("avg_lobby_skill"),
     )
 
 

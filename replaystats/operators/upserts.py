@@ -16,9 +16,8 @@ from replaystats.functions.scalars import older_than
 from replaystats.operators.joins import all_present, not_in, only_in
 from replaystats.operators.keyed import first_per_key, oldest_batch
 
-# Age and size of one move from the cache to the archive.
+# Fixed value: age of a move from the cache to the archive.
 MOVE_AFTER_HOURS = 24
-MOVE_BATCH = 10_000
 
 
 def insert_ignore(
@@ -83,16 +82,20 @@ def age_out(
     archive: DataFrame,
     as_of: datetime | str,
     hours: float = MOVE_AFTER_HOURS,
-    limit: int = MOVE_BATCH,
+    limit: int | None = None,
     key: str = "replay_id",
     time: str = "start_time",
 ) -> tuple[DataFrame, DataFrame]:
-    """Move the oldest cache rows to the archive: (remaining cache, rows to append to the archive).
+    """Move aged cache rows to the archive: (remaining cache, rows to append to the archive).
 
-    Only keys and times are sorted for the cut; the documents are picked up by a semi join on the
-    at most ``limit`` keys. Rows whose key the archive already has leave the cache all the same.
+    Everything old enough moves. A key moves with all its copies as soon as one of them is old
+    enough; rows without a key stay. With ``limit`` only the so many oldest move: keys and times
+    are sorted for that cut and the documents picked up by a semi join. Rows whose key the archive
+    already has leave the cache all the same.
     """
-    oldest = oldest_batch(cache.select(key, time).filter(older_than(time, as_of, hours)), [time, key], limit)
-    moved = only_in(cache, oldest, [key])
-    remaining = cache.join(oldest.select(key).distinct(), [key], "left_anti").select(*cache.columns)
+    aged = cache.select(key, time).filter(older_than(time, as_of, hours) & F.col(key).isNotNull())
+    if limit is not None:
+        aged = oldest_batch(aged, [time, key], limit)
+    moved = only_in(cache, aged, [key])
+    remaining = cache.join(aged.select(key).distinct(), [key], "left_anti").select(*cache.columns)
     return remaining, insert_ignore(archive, moved, [key], [F.col(time).asc_nulls_last()])

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,8 +63,20 @@ def staging_root(spark: SparkSession) -> str:
     return _fallback
 
 
-# Staged tables of this process lie in one folder of their own, so that a run can drop them.
-_RUN = f"replaystats-{uuid.uuid4().hex}"
+# Staged tables lie in a folder of the job that made them, or, outside of one, of the process.
+_RUN: ContextVar[str] = ContextVar("_RUN", default=f"replaystats-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A staging folder of its own for what is staged inside, deleted at the end, also after a
+    failure. Jobs that run side by side don't touch each other's staged tables."""
+    token = _RUN.set(f"replaystats-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        clear_staged(spark)
+        _RUN.reset(token)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -72,14 +87,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     statistics, so the planner can choose broadcast joins from real sizes.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{_RUN}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{_RUN.get()}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_staged(spark: SparkSession) -> None:
-    """Delete the staged tables of this process. Call when no frame built on them is needed any more."""
-    delete(spark, f"{staging_root(spark)}/{_RUN}")
+    """Delete the staged tables of the current scope. Call when no frame built on them is needed any more."""
+    delete(spark, f"{staging_root(spark)}/{_RUN.get()}")
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -93,6 +108,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file; a file of that name at the target is replaced."""
+    source, system = _on_file_system(spark, path)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system.mkdirs(goal.getParent())
+    if system.exists(goal):
+        system.delete(goal, False)
+    if not system.rename(source, goal):
+        raise OSError(f"could not move {path} to {target}")
+
+
 def _on_file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

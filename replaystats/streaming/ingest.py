@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from replaystats.operators.upserts import insert_ignore
+from replaystats.plans.jobs import new_replays
 from replaystats.sources import tables as t
 from replaystats.sources.meta import is_valid, with_key_columns
 from replaystats.sources.tables import Tables
@@ -44,9 +44,7 @@ def land_batch(tables: Tables, quarantine: str):
         # Read once: the insert uses the rows several times.
         keyed = with_key_columns(batch).persist()
         good = keyed.filter(is_valid()).select("replay_id", "start_time", "raw_json")
-        stored = tables.read(t.RAW_CACHE)
-        new = insert_ignore(stored, good, ["replay_id"], [F.col("start_time").asc_nulls_last(), F.col("raw_json")])
-        tables.append(t.RAW_CACHE, new)
+        tables.append(t.RAW_CACHE, new_replays(tables, good))
         bad = keyed.filter(~is_valid()).select(*batch.columns)
         bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
         keyed.unpersist()
@@ -62,9 +60,11 @@ def ingest_stream(
     quarantine: str,
     archive: str | None = None,
     every: str | None = None,
+    max_files: int = 10_000,
 ) -> StreamingQuery:
-    """Ingest new files until they are used up, or continuously when ``every`` gives an interval."""
-    writer = meta_file_stream(spark, inbox, archive).writeStream.foreachBatch(land_batch(tables, quarantine))
+    """Ingest new files until they are used up, or continuously when ``every`` gives an interval.
+    ``max_files`` bounds a micro-batch; the rest follows in the next."""
+    writer = meta_file_stream(spark, inbox, archive, max_files).writeStream.foreachBatch(land_batch(tables, quarantine))
     writer = writer.option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()

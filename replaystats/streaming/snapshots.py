@@ -1,8 +1,7 @@
 """Streaming form of the snapshot job.
 
-It deduplicates by the snapshot key inside a 36-hour watermark and leaves the rest to the
-insert-ignore of the sink. Its watermark follows the event times it has seen; the batch job's
-follows the clock. The two differ when the source idles, and the batch job is the reference.
+The insert-ignore of the sink removes repeats, within a batch and against what is stored, so the
+stream keeps no state and drops no late row. The sink brings the latest skills up to date as well.
 """
 
 from __future__ import annotations
@@ -11,33 +10,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from replaystats.operators.aggregates import merge_latest_skill
+from replaystats.operators.joins import only_in
 from replaystats.operators.upserts import insert_ignore
 from replaystats.plans.snapshots import SNAPSHOT_KEY
+from replaystats.session import stage, staging
 from replaystats.sources import tables as t
 from replaystats.sources.tables import Tables, days_between
 
 LATENESS = "36 hours"
 
 
-def snapshot_stream(player_match_stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Unique snapshots of a stream of (user_id, category, skill, start_time)."""
+def snapshot_stream(player_match_stream: DataFrame) -> DataFrame:
+    """Snapshots of a stream of (user_id, category, skill, start_time), repeats included."""
     known = player_match_stream.filter(F.col("user_id").isNotNull() & F.col("category").isNotNull())
-    snapshots = known.select("user_id", "category", "skill", "start_time")
-    return snapshots.withWatermark("start_time", lateness).dropDuplicates(SNAPSHOT_KEY)
+    return known.select("user_id", "category", "skill", "start_time")
 
 
 def append_snapshots(tables: Tables):
-    """Batch writer. Only stored days that the batch touches can conflict, so only they are read."""
+    """Batch writer. Only stored days that the batch touches can conflict, so only they are read.
+
+    The latest skills are merged from the whole batch, so a batch that died after its append and
+    comes again still reaches them.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Computed once: the insert uses the rows several times, and they come out of a state store.
-        batch.persist()
-        first, last = batch.agg(F.min(F.to_date("start_time")), F.max(F.to_date("start_time"))).first()
-        if first is not None:
+        with staging(tables.spark):
+            rows = stage(batch, "snapshot-batch")  # read once: the insert uses the rows several times
+            first, last = rows.agg(F.min(F.to_date("start_time")), F.max(F.to_date("start_time"))).first()
+            if first is None:
+                return
             stored = days_between(tables.read(t.SNAPSHOTS), first, last)
-            new = insert_ignore(stored, batch, SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()])
+            new = stage(insert_ignore(stored, rows, SNAPSHOT_KEY, [F.col("skill").desc_nulls_last()]), "snapshots")
+            # Rows of the batch that are stored already carry the stored skill, not their own.
+            again = only_in(stored.select(*new.columns), rows, SNAPSHOT_KEY)
+            recent = stage(again.unionByName(new), "recent")
             tables.append(t.SNAPSHOTS, new)
-        batch.unpersist()
+            tables.replace(t.SKILL_DELTAS, merge_latest_skill(tables.read(t.SKILL_DELTAS), recent))
 
     return write
 
