@@ -35,8 +35,25 @@ SIGNS = b".,;:!?\"'()[]{}#*$%&|<>"
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
-def plain_words(text: str | None) -> list[bytes]:
-    return [w for w in (x.strip(SIGNS) for x in words_of((text or "").encode())) if w]
+def plain_words(raw: bytes) -> list[bytes]:
+    return [w for w in (x.strip(SIGNS) for x in words_of(raw)) if w]
+
+
+class Numbers(dict):
+    """The number of a word as it stands in a text: 0 for a foreign word, -1 for signs alone. Remembers
+    at most ``limit`` words."""
+
+    limit = 300_000
+
+    def __init__(self, words: dict[bytes, int]):
+        self.words = words
+
+    def __missing__(self, raw: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        word = raw.strip(SIGNS)
+        value = self[raw] = self.words.get(word, 0) if word else -1
+        return value
 
 
 @functools.lru_cache(maxsize=20_000)
@@ -79,10 +96,11 @@ class Block:
     n: int
     grams: dict[tuple[int, ...], list[tuple[int, int]]]
 
-    def numbers(self, text: str | None) -> np.ndarray:
+    def numbers(self, raw: bytes | None, known: Numbers) -> np.ndarray:
         """A text's words as the block's numbers; 0 for a word that no item has."""
-        words = plain_words(text)
-        return np.fromiter((self.words.get(w, 0) for w in words), np.int64, len(words))
+        words = words_of(raw or b"")
+        found = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return found[found >= 0]
 
     def found(self, numbers: np.ndarray) -> Iterator[tuple[int, tuple[int, ...]]]:
         """(place, gram) of each gram of the block in a text. Most places have a foreign word and are skipped."""
@@ -101,7 +119,7 @@ def build_block(rows: list[tuple], n: int) -> Block:
     ids, items = [], []
     grams: dict = defaultdict(list)
     for ident, text in rows:
-        numbers = tuple(words.setdefault(w, len(words) + 1) for w in plain_words(text))
+        numbers = tuple(words.setdefault(w, len(words) + 1) for w in plain_words(text.encode()))
         if not numbers:
             continue
         width = min(n, len(numbers))
@@ -162,7 +180,8 @@ def find_leaks(
     """(id, item id, matched words, item words, share, start word, end word) per document and item found."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = pick(docs, id_col, text_col).toDF("id", "text").withColumn("id", F.col("id").cast("long"))
+    docs = pick(docs, id_col, text_col).toDF("id", "raw")
+    docs = docs.select(F.col("id").cast("long"), F.col("raw").cast("binary"))
     items = pick(items, item_col, item_text_col).toDF("item", "text")
     items = stage(items.select(F.col("item").cast("long"), "text").filter("text is not null"), "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -190,29 +209,30 @@ def _block_leaks(docs: DataFrame, block: Block, spread: int, min_share: float) -
     every = context.broadcast(block)
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = every.value
-        seen: Counter = Counter()
+        grams, seen = every.value, Counter()
+        known = Numbers(grams.words)
         for batch in source:
-            for text in batch.column(0).to_pylist():
-                seen.update({g for _, g in grams.found(grams.numbers(text))})
+            for raw in batch.column(0).to_pylist():
+                seen.update({g for _, g in grams.found(grams.numbers(raw, known))})
         yield pa.RecordBatch.from_arrays(
             [pa.array([list(g) for g in seen], pa.list_(pa.int64())), pa.array(list(seen.values()), pa.int64())],
             names=["gram", "docs"],
         )
 
-    counted = docs.select("text").mapInArrow(count, "gram array<long>, docs long")
+    counted = docs.select("raw").mapInArrow(count, "gram array<long>, docs long")
     counts = counted.groupBy("gram").agg(F.sum("docs").alias("docs"))  # at most the block's grams
     seen = {tuple(r["gram"]): r["docs"] for r in counts.toLocalIterator()}
     sent = context.broadcast(rarest(block, seen, spread))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = sent.value
+        known = Numbers(grams.words)
         names = ["id", "item", "matched", "item_words", "start", "end"]
         schema = pa.schema([(name, pa.int64()) for name in names])
         for batch in source:
             rows = []
-            for ident, text in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                for item, matched, start, end in leaks(grams, grams.numbers(text), min_share):
+            for ident, raw in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                for item, matched, start, end in leaks(grams, grams.numbers(raw, known), min_share):
                     rows.append((ident, grams.ids[item], matched, len(grams.items[item]), start, end))
             columns = list(zip(*rows, strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)

@@ -53,7 +53,7 @@ def test_leaks(spark):
     block = decontaminate.build_block([i for i in items if i[1]], 3)
     want = {}
     for ident, text in rows:
-        numbers = tuple(block.numbers(text).tolist())
+        numbers = tuple(block.numbers((text or "").encode(), decontaminate.Numbers(block.words)).tolist())
         for k, item in enumerate(block.items):
             matched, start, end = decontaminate.align(item, numbers[:4000])
             if matched >= 0.5 * len(item):
