@@ -30,7 +30,7 @@ from replaystats.llm.text import WordHash, pick, small_batches
 
 TERM = regex.compile(r"[\p{L}\p{N}]+")
 PREFIX = 5
-WINDOW_CHARS = 1 << 20  # terms of a long text are gathered in pieces
+MIN_STEPS = 200  # of mini-batches, however few rows there are
 
 
 def terms(text: str, hashes: WordHash, buckets: int) -> np.ndarray:
@@ -101,6 +101,7 @@ def fit(
     model = Machine(empty.bias, slot, weight, factor)
     state = [np.zeros_like(weight), np.zeros_like(weight), np.zeros_like(factor), np.zeros_like(factor)]
     step, size, l2 = 0, 256, 1e-4
+    epochs = max(epochs, -(-MIN_STEPS * size // max(n, size)))  # few rows are gone over more often
     for epoch in range(epochs):
         rate = 0.03 * (1 - epoch / epochs) + 0.002
         order = rng.permutation(n)
