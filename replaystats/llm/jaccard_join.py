@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replaystats.llm.graph import components
-from replaystats.llm.text import WordHash, mix, pick, shingles, small_batches, words_of
+from replaystats.llm.text import WordHash, pick, shingles, small_batches, words_of
 from replaystats.session import stage
 
 MAX_SMALL = 20  # largest set that may enumerate its subsets
