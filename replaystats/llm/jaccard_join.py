@@ -320,16 +320,17 @@ def block_links(table: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"a": pa.array([e[0] for e in edges], pa.binary()), "b": pa.array([e[1] for e in edges], pa.binary())})
 
 
-def family_links(chains: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
-    """Links inside the families that the heavy lists make, block by block."""
-    families = components(chains).withColumnRenamed("node", "digest")
-    held = stage(held.join(families, "digest"), "families")
-    sizes = held.groupBy("component").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum(F.size("found")) * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
+def family_links(chains: DataFrame, sized: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+    """Links inside the families that the heavy lists make, block by block. sized: (digest, n) of all sets.
+    The blocks are planned on those; the shingles move only to their blocks, never into a staged copy."""
+    families = components(chains).withColumnRenamed("node", "digest").join(sized, "digest")
+    sizes = families.groupBy("component").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
     )
+    planned = stage(families.join(sizes, "component").select("digest", "component", "blocks"), "families")
     own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     dealt = (
-        held.join(sizes, "component")
+        held.join(planned, "digest")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -383,7 +384,7 @@ def link(
         .select("a", "b")
     )
     edges = light_links.unionByName(small_links(classes, rule, limit))
-    edges = edges.unionByName(family_links(found.filter("chained").select("a", "b"), held, rule))
+    edges = edges.unionByName(family_links(found.filter("chained").select("a", "b"), classes.select("digest", "n"), held, rule))
     joined = components(edges)
     rows = sets.join(joined.withColumnRenamed("node", "digest"), "digest", "left")
     rows = stage(rows.select("id", "n", F.coalesce("component", "digest").alias("component")), "members")
