@@ -42,7 +42,7 @@ from replaystats.session import stage
 MAX_SMALL = 20  # largest set that may enumerate its subsets
 VERIFY_ROWS = 40  # an entry of an inverted list costs about as much as so many enumerated subsets
 SLOTS = 1 << 17  # of the table of counts
-BLOCK_DOCS, BLOCK_BYTES = 256, 4 << 20
+BLOCK_DOCS, BLOCK_BYTES = 1024, 16 << 20  # a task holds two blocks: some 300 MB with its work space
 _FLUSH = 50_000
 
 
