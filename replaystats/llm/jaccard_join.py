@@ -8,7 +8,8 @@ Documents with equal shingle sets fold into one class first. Then
   as two linked sets cannot both miss. A light list gives its pairs, filtered by size and place; the
   shared shingles of a pair are then counted. A heavy list gives no pairs: its members are chained
   to one of them, chained sets form families, and a family's sets are compared block by block inside
-  tasks that return a spanning forest of the links, never the pairs.
+  tasks that return a spanning forest of the links, never the pairs. Pairs of light lists that lie in
+  one family are left to it.
 
 The boundary between small and large is the size at which enumerating costs as many rows as the
 lists and the verification behind them, computed from the histogram of sizes.
@@ -320,14 +321,26 @@ def block_links(table: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"a": pa.array([e[0] for e in edges], pa.binary()), "b": pa.array([e[1] for e in edges], pa.binary())})
 
 
-def family_links(chains: DataFrame, sized: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
-    """Links inside the families that the heavy lists make, block by block. sized: (digest, n) of all sets.
-    The blocks are planned on those; the shingles move only to their blocks, never into a staged copy."""
+def plan_families(chains: DataFrame, sized: DataFrame) -> DataFrame:
+    """(digest, component, blocks): the families that the heavy lists make, and in how many blocks each is
+    compared. sized: (digest, n) of all sets."""
     families = components(chains).withColumnRenamed("node", "digest").join(sized, "digest")
     sizes = families.groupBy("component").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
     )
-    planned = stage(families.join(sizes, "component").select("digest", "component", "blocks"), "families")
+    return stage(families.join(sizes, "component").select("digest", "component", "blocks"), "families")
+
+
+def between_families(pairs: DataFrame, planned: DataFrame) -> DataFrame:
+    """The pairs not inside one family: those are compared there. A family of copies meets in light lists too,
+    in so many different pairs that they must not be given their shingles."""
+    own = planned.select("digest", "component")
+    placed = pairs.join(own.toDF("a", "family_a"), "a", "left").join(own.toDF("b", "family_b"), "b", "left")
+    return placed.filter("family_a is null or family_b is null or family_a <> family_b").select("a", "b")
+
+
+def family_links(planned: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+    """Links inside the families, block by block. The shingles move only to their blocks."""
     own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     dealt = (
         held.join(planned, "digest")
@@ -373,7 +386,8 @@ def link(
     ends = found.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     held = stage(contents(raw, classes.select("row", "digest").join(ends, "digest"), rule), "contents")
     held = held.dropDuplicates(["digest"])
-    pairs = found.filter("not chained").select("a", "b")
+    planned = plan_families(found.filter("chained").select("a", "b"), classes.select("digest", "n"))
+    pairs = stage(between_families(found.filter("not chained").select("a", "b"), planned), "light-pairs")
     one = held.toDF("a", "found_a")
     two = held.toDF("b", "found_b")
     both = F.size(F.array_intersect("found_a", "found_b"))
@@ -384,7 +398,7 @@ def link(
         .select("a", "b")
     )
     edges = light_links.unionByName(small_links(classes, rule, limit))
-    edges = edges.unionByName(family_links(found.filter("chained").select("a", "b"), classes.select("digest", "n"), held, rule))
+    edges = edges.unionByName(family_links(planned, held, rule))
     joined = components(edges)
     rows = sets.join(joined.withColumnRenamed("node", "digest"), "digest", "left")
     rows = stage(rows.select("id", "n", F.coalesce("component", "digest").alias("component")), "members")
