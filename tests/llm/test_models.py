@@ -106,6 +106,17 @@ def test_model_beats_base_and_empty_table(spark):
     assert lm_score.score(documents(spark, []), RANKS, P.PATTERN).collect() == []
 
 
+def test_ids_are_counted_as_they_stand(spark):
+    rows = [(1, "alpha beta\n\nalpha\n  beta"), (2, "alpha beta\n\nalpha\n  beta"), (3, "\n"), *edges()]
+    coder = lm_score.Coder(spark, RANKS, P.PATTERN)
+    coded = lm_score.encode(documents(spark, rows).selectExpr("cast(text as binary) as raw"), coder)
+    size = coder.get().n_vocab + 1
+    want = Counter(i for _, t in rows for i in [*coder.get().encode_ordinary(t or ""), size - 1])
+    got = lm_score.id_counts(coded, size)
+    assert {int(i): int(got[i]) for i in np.flatnonzero(got)} == want
+    assert want[coder.get().encode_single_token(b"\n")] > 0
+
+
 def small_model():
     counts = np.arange(400)[::-1].astype(float)
     model = lm_score.build(counts, window=6, width=4, entries=30)
