@@ -117,6 +117,26 @@ def test_ids_are_counted_as_they_stand(spark):
     assert want[coder.get().encode_single_token(b"\n")] > 0
 
 
+def test_attention_learns_from_all_texts(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(words(rng, rng.randint(1, 30)))) for i in range(320)]  # more than the 300 of before
+    docs = documents(spark, rows + [(900 + i, rows[0][1]) for i in range(160)])  # a third are copies
+    coder = lm_score.Coder(spark, RANKS, P.PATTERN)
+    coded = lm_score.stage(lm_score.encode(docs.selectExpr("cast(text as binary) as raw"), coder), "ids")
+    size = coder.get().n_vocab + 1
+    model = lm_score.build(lm_score.id_counts(coded, size), window=8, width=4, entries=30)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    sent = spark.sparkContext.broadcast(model)
+    texts = [np.array([*coder.get().encode_ordinary(t), size - 1]) for t in sorted({t for _, t in rows})]
+    windows = lm_score.windows_of(texts, 8)
+    assert Counter(windows[:, 1:][windows[:, 1:] >= 0].tolist()) == Counter(np.concatenate(texts).tolist())
+    seen, grads = lm_score.summed_gradients(coded, sent)
+    assert seen == sum(map(len, texts))
+    for name, grad in lm_score._gradients(model, windows).items():
+        assert np.allclose(grads[name], grad * seen, atol=1e-3), name
+    assert 1 < coded.select("bucket").distinct().count() <= lm_score.STEPS
+
+
 def small_model():
     counts = np.arange(400)[::-1].astype(float)
     model = lm_score.build(counts, window=6, width=4, entries=30)
