@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import math
 import random
 import zlib
@@ -163,6 +164,21 @@ def test_each_id_is_scored_once():
     assert np.allclose(model.score([[3, 4], [5] * 9], 4), [model.score([[3, 4]], 4)[0], model.score([[5] * 9], 4)[0]])
 
 
+def test_default_windows_give_real_context():
+    defaults = {k: p.default for k, p in inspect.signature(lm_score.score).parameters.items()}
+    window, stride = defaults["window"], defaults["stride"]
+    assert window >= 128 and 2 * stride <= window
+    model = lm_score.build(np.arange(400)[::-1].astype(float), window, width=4, entries=300)
+    rng = np.random.default_rng(7)
+    model.weights = {k: v.astype(np.float64) + rng.normal(0, 0.3, v.shape) for k, v in model.weights.items()}
+    text = rng.integers(0, 300, 3 * window).tolist()
+    last = lambda t: np.subtract(*model.score([t, t[:-1]], stride))
+    for end in (window, window + 1, window + stride + 1, 3 * window):  # also the first fresh id of a window
+        far = text[:end]
+        far[end - stride] = (far[end - stride] + 1) % 300
+        assert abs(last(far) - last(text[:end])) > 1e-9
+
+
 def test_gradients():
     model = small_model()
     rng = np.random.default_rng(4)
