@@ -1,13 +1,20 @@
 """Licence scan: a paragraph classifier, confirmed by comparison with templates.
 
-A multinomial logistic regression over word 1- and 2-grams sorts each line of a text into a licence
+A multinomial logistic regression over word 1- and 2-grams sorts lines and groups of lines into a licence
 family, "unknown" (speaks of a licence, of no family here) or "none". It is trained in numpy on
 variants of the families' notices, on made-up licences, and on at most ``max_plain`` lines of the
 corpus (a documented bound), and its confidence is calibrated by a temperature fitted on variants
-held back. A family is reported only if its probability reaches ``min_probability`` and the line
-agrees with one of the family's templates; a line that reads like a licence and is not confirmed is
+held back. A family is reported only if its probability reaches ``min_probability`` and the words
+agree with one of the family's templates; what reads like a licence and is not confirmed is
 "unknown".
 
+A paragraph is a run of lines that are not blank. Its groups are its lines, each alone, and all runs of its lines
+that have at most ``GROUP_WORDS`` words, so that a notice is seen whole however it is wrapped and
+whatever prose stands around it. Of the confirmed groups that overlap, the one that agrees best counts, then
+the shortest, then the first. Other groups that read like a licence give "unknown", the
+shortest first; if they touch a confirmed group of the family that the classifier sees in them, they
+are the rest of its notice and extend its range.
+
 The scan is a map over all rows, without a shuffle, and judges every line of every text; what is
 shipped is the model, whose size is fixed by its templates.
 
@@ -19,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +110,7 @@ UNKNOWN_FRAMES = (
     "use of this software is subject to the {} license",
 )
 CLASSES = (NONE, UNKNOWN, *TEMPLATES)
+GROUP_WORDS = 120  # twice the longest template and more
 WORD = regex.compile(r"[\p{L}\p{N}]+(?:\.\p{N}+)*")
 
 
@@ -124,10 +133,14 @@ class Classifier:
 
     def judge(self, words: list[str]) -> tuple[str, float, float]:
         """Family, calibrated probability and agreement with its nearest template."""
-        scores = self._logits([self.rows(words)])[0] / self.temperature
+        rows = self.rows(words)
+        scores = self.bias + self.weights[rows].sum(0) / np.sqrt(len(rows)) if rows else self.bias
+        best = int(scores.argmax())
+        if best == 0:
+            return NONE, 0.0, 0.0  # the most frequent case; its numbers are not asked for
+        scores = scores / self.temperature
         chance = np.exp(scores - scores.max())
         chance /= chance.sum()
-        best = int(chance.argmax())
         family = CLASSES[best]
         return family, float(chance[best]), self.agreement(words, family)
 
@@ -236,6 +249,60 @@ def train(docs: DataFrame, text_col: str = "text", max_plain: int = 1500) -> Cla
     return fit([r["line"] for r in sample.collect()])
 
 
+def paragraph(model: Classifier, lines: list[list[str]], min_probability: float, min_agreement: float) -> list[tuple]:
+    """(first, last, family, probability, agreement) of the notices in the lines of a paragraph, given as words."""
+    sure, maybe = [], []
+    place = [i for i, words in enumerate(lines) if words]  # lines without a word belong to no group
+    solid = [lines[i] for i in place]
+    rows = [model.rows(words) for words in solid]
+    # joints: the feature that a line makes with the line before it
+    joints = [[]] + [[i] if (i := model.features.get(f"{a[-1]} {b[0]}")) is not None else [] for a, b in zip(solid, solid[1:], strict=False)]
+    for first in range(len(solid)):
+        held: set[int] = set()
+        total, length, best = np.zeros(len(CLASSES)), 0, int(model.bias.argmax())
+        for last in range(first, len(solid)):
+            length += len(solid[last])
+            if last > first and length > GROUP_WORDS:
+                break
+            # Only what the line adds; a group costs no more for the lines before it.
+            fresh = set(rows[last] if last == first else [*rows[last], *joints[last]]) - held
+            if fresh:
+                held |= fresh
+                total += model.weights[list(fresh)].sum(0)
+                best = int((model.bias + total / np.sqrt(len(held))).argmax())
+            if best == 0:
+                continue
+            family, chance, agreement = model.judge([w for words in solid[first : last + 1] for w in words])
+            if family == NONE:
+                continue
+            found = (place[first], place[last], family, chance, agreement)
+            good = family != UNKNOWN and chance >= min_probability and agreement >= min_agreement
+            (sure if good else maybe).append(found)
+    free = [True] * len(lines)
+    out: list[tuple] = []
+    for found in sorted(sure, key=lambda x: (-x[4], x[1] - x[0], x[0])):
+        _take(found, free, out)
+    rest: list[tuple] = []
+    for found in sorted(maybe, key=lambda x: (x[1] - x[0], x[0])):
+        _take(found, free, rest)
+    for found in sorted(rest):
+        touched = [i for i, x in enumerate(out) if x[2] == found[2] != UNKNOWN and (x[1] + 1 == found[0] or found[1] + 1 == x[0])]
+        if touched:
+            x = out[touched[0]]
+            out[touched[0]] = (min(x[0], found[0]), max(x[1], found[1]), *x[2:])
+        else:
+            out.append((*found[:2], UNKNOWN, *found[3:]))
+    return sorted(out)
+
+
+def _take(found: tuple, free: list[bool], out: list[tuple]) -> None:
+    """Add ``found`` if all its lines are free."""
+    first, last = found[:2]
+    if all(free[first : last + 1]):
+        free[first : last + 1] = [False] * (last + 1 - first)
+        out.append(found)
+
+
 def scan(
     docs: DataFrame,
     model: Classifier,
@@ -244,28 +311,25 @@ def scan(
     min_probability: float = 0.5,
     min_agreement: float = 0.7,
 ) -> DataFrame:
-    """(id, line, family, probability, agreement) per line that speaks of a licence; lines count from 0."""
+    """(id, line, last_line, family, probability, agreement) per notice; lines count from 0."""
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("agreement", pa.float64())])
+    kinds = {"line": pa.int64(), "last_line": pa.int64(), "family": pa.string(), "probability": pa.float64(), "agreement": pa.float64()}
+    schema = pa.schema(list(kinds.items()))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = sent.value
-        # Without one of these words a line has no pair of a licence and falls to "none".
-        clue = regex.compile(r"licen[sc]|public|gnu|gpl|mit\b|bsd|cc|creative|redistribut|permission|copyright|unencumbered", regex.IGNORECASE)
         for batch in source:
             ids, rows = [], []
             for at, text in enumerate(batch.column(1).to_pylist()):
-                for number, line in enumerate((text or "").split("\n")):
-                    if not clue.search(line):
-                        continue
-                    family, chance, agreement = judge.judge(words_in(line))
-                    if family == NONE:
+                lines = (text or "").split("\n")
+                for solid, numbers in groupby(range(len(lines)), lambda i: bool(lines[i].strip())):  # noqa: B023
+                    if not solid:
                         continue
-                    if family != UNKNOWN and (chance < min_probability or agreement < min_agreement):
-                        family = UNKNOWN
-                    ids.append(at)
-                    rows.append((number, family, chance, agreement))
+                    part = list(numbers)
+                    found = paragraph(judge, [words_in(lines[i]) for i in part], min_probability, min_agreement)
+                    ids += [at] * len(found)
+                    rows += [(part[0] + first, part[0] + last, *what) for first, last, *what in found]
             columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(ids, pa.int64())), *(pa.array(c, f.type) for c, f in zip(columns, schema, strict=True))],
@@ -274,5 +338,5 @@ def scan(
 
     kind = docs.schema.fields[docs.columns.index(id_col)].dataType.simpleString()
     return pick(docs, id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, line long, family string, probability double, agreement double"
+        run, f"`{id_col}` {kind}, line long, last_line long, family string, probability double, agreement double"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import inspect
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -74,6 +75,40 @@ def test_licences(spark):
     assert licenses.scan(documents(spark, []), licenses.train(documents(spark, []))).collect() == []
 
 
+NOTICES = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+}
+
+
+def test_wrapped_licences(spark):
+    plain = [" ".join(words(random.Random(i), 12)) + "." for i in range(200)]
+    rows, want = [], []
+    for i, (family, notice) in enumerate(NOTICES.items()):
+        for j, width in enumerate((40, 72, 80)):
+            wrapped = textwrap.wrap(notice, width)
+            assert len(wrapped) > 1
+            for k, (before, after) in enumerate((([], []), ([plain[0], ""], ["", plain[1]]), ([plain[2]], [plain[3]]))):
+                rows.append((100 * i + 10 * j + k, "\n".join([*before, *wrapped, *after])))
+                want.append((rows[-1][0], len(before), len(before) + len(wrapped) - 1, family))
+    model = licenses.train(documents(spark, [(1, "\n".join(plain))]))
+    got = licenses.scan(documents(spark, rows), model).select("doc_id", "line", "last_line", "family").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_groups_are_judged_like_their_words():
+    plain = [" ".join(words(random.Random(i), 12)) + "." for i in range(200)]
+    model = licenses.fit(plain)
+    lines = [licenses.words_in(x) for x in ["see the", "---", *textwrap.wrap(NOTICES["bsd"], 30), "of the", *plain[:3]]]
+    got = licenses.paragraph(model, lines, 0.5, 0.7)
+    assert [x[2] for x in got if x[2] != "unknown"] == ["bsd"]
+    first, last, family, chance, agreement = next(x for x in got if x[2] == "bsd")
+    assert first <= 2 and last >= 1 + len(textwrap.wrap(NOTICES["bsd"], 30)) and chance >= 0.5 and agreement >= 0.7
+    assert licenses.paragraph(model, [[]] * 100_000, 0.5, 0.7) == []  # lines without a word cost nothing
+
+
 def crc(ident):
     return zlib.crc32(("" if ident is None else str(ident)).encode()) % 5
 
