@@ -109,6 +109,17 @@ def test_groups_are_judged_like_their_words():
     assert licenses.paragraph(model, [[]] * 100_000, 0.5, 0.7) == []  # lines without a word cost nothing
 
 
+def test_licences_without_a_clue_word(spark):
+    """Every line is judged by the model, whatever its words."""
+    plain = [" ".join(words(random.Random(i), 12)) + "." for i in range(200)]
+    lines = ["Released under the Apache 2.0", "Released under MPL 2.0", "Distributed under Apache-2.0", "subject to the terms of the Mozilla MPL", *plain]
+    model = licenses.train(documents(spark, [(1, "\n".join(plain))]))
+    want = [i for i, line in enumerate(lines) if licenses.CLASSES[model._logits([model.rows(licenses.words_in(line))])[0].argmax()] != licenses.NONE]
+    got = {r["line"]: r["family"] for r in licenses.scan(documents(spark, [(1, "\n\n".join(lines))]), model).collect()}
+    assert sorted(got) == [2 * i for i in want]
+    assert got[0] == "apache-2.0"
+
+
 def crc(ident):
     return zlib.crc32(("" if ident is None else str(ident)).encode()) % 5
 
