@@ -54,26 +54,20 @@ def repeated_words(words: Column) -> Column:
     """Words inside three-word windows that occur at least twice in the array."""
 
     def windows(w: Column) -> Column:
-        bits = F.ceil(F.log2(F.size(w) + 1)).cast("int")
-
         def pack(i: Column) -> Column:
             h = F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-            return _high(h, bits).bitwiseOR(i.cast("long"))
+            return F.struct(h.alias("h"), i.alias("i"))
 
         packed = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), pack))
-        return let(F.struct(packed.alias("s"), bits.alias("b")), covered)
-
-    def covered(bound: Column) -> Column:
-        s, b = bound["s"], bound["b"]
+        return let(packed, covered)
 
+    def covered(s: Column) -> Column:
         def twice(x: Column, i: Column) -> Column:
-            mine = _high(x, b)
-            return F.coalesce(_high(F.get(s, i + 1), b) == mine, F.lit(False)) | F.coalesce(
-                _high(F.get(s, i - 1), b) == mine, F.lit(False)
+            return F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False)) | F.coalesce(
+                F.get(s, i - 1)["h"] == x["h"], F.lit(False)
             )
 
-        low = F.filter(s, twice)
-        places = F.sort_array(F.transform(low, lambda x: x - _high(x, b)))
+        places = F.sort_array(F.transform(F.filter(s, twice), lambda x: x["i"].cast("long")))
         # A window covers three words, or as many as lie before the next one.
         return let(
             places,
@@ -87,10 +81,6 @@ def repeated_words(words: Column) -> Column:
     return let(words, lambda w: F.when(F.size(w) >= 3, windows(w)).otherwise(F.lit(0).cast("long")))
 
 
-def _high(x: Column, bits: Column) -> Column:
-    return F.call_function("shiftleft", F.call_function("shiftright", x, bits), bits)
-
-
 def line_fails(line: Column) -> Column:
     """Whether one line, bound by a lambda, breaks a rule."""
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))

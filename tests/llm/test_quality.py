@@ -50,3 +50,15 @@ def test_empty_and_native(spark):
     df = rate(documents(spark, []))
     assert df.collect() == []
     assert not re.search("Python|Pandas|Arrow|Exchange", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_long_texts_count_exactly(spark):
+    """The hashes of these windows agree in their upper 45 bits, all that a text of 300,000 words once had."""
+    pairs = [(1856933, 18656082), (2899376, 13731284), (926426, 5462398), (545384, 17602364)]
+    filler = (f"w{i}" for i in range(300_000))
+    text = []
+    for a in (i for pair in pairs for i in pair):
+        text += [*(next(filler) for _ in range(30_000)), f"x{a}", "y", "z"]
+    text += filler
+    got = rate(documents(spark, [(1, " ".join(text)), (2, " ".join([*text, *text[:10]]))])).collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in got} == {1: 0, 2: 20}
