@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replaystats.llm import bpe, decontaminate, jaccard_join, licenses, line_dedup, lm_score, quality, suffix_dedup, toxicity, warc
+from replaystats.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    jaccard_join,
+    licenses,
+    line_dedup,
+    lm_score,
+    pii,
+    quality,
+    suffix_dedup,
+    toxicity,
+    warc,
+    whitening,
+)
 from replaystats.llm.sql import SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +90,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.drop("text")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(_read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    # A deviation beyond a long is null here; the operator itself has it as a decimal.
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -87,5 +115,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_quality": op10_quality,
+    "op11_pii": op11_pii,
+    "op12_divergence": op12_divergence,
+    "op13_whitening": op13_whitening,
 }
 ORACLE = {name: text for name, text in SQL.items() if name in QUERIES}

@@ -83,4 +83,145 @@ SELECT * EXCLUDE (good), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS
 FROM joined
 """
 
-SQL = {"op6_line_dedup": LINES, "op10_quality": QUALITY}
+# Fixed values of the method: patterns, account number lengths by country, words nearby.
+IBANS = "|".join(
+    f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}"
+    for n, codes in (
+        (15, "NO"),
+        (16, "BE"),
+        (18, "DK FI FK FO GL NL SD"),
+        (19, "MK SI"),
+        (20, "AT BA EE KZ LT LU MN XK"),
+        (21, "CH HR LI LV"),
+        (22, "BG BH CR DE GB GE IE ME RS VA"),
+        (23, "AE GI IL IQ OM SO TL"),
+        (24, "AD CZ ES MD PK RO SA SE SK TN VG"),
+        (25, "LY PT ST"),
+        (26, "IS TR"),
+        (27, "BI DJ FR GR IT MC MR SM"),
+        (28, "AL AZ BY CY DO GT HU LB NI PL SV"),
+        (29, "BR EG PS QA UA"),
+        (30, "JO KW MU YE"),
+        (31, "MT SC"),
+        (32, "LC"),
+        (33, "RU"),
+    )
+)
+CALLS = "'phone', 'tel', 'telephone', 'call', 'mobile', 'fax', 'cell', 'whatsapp', 'telefon', 'téléphone', 'teléfono'"
+AGAINST = "'version', 'release', 'build', 'isbn', 'order', 'invoice', 'serial', 'sku', 'ticket', 'section'"
+FOUND = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(x, '.'), lambda p: try_cast(p AS HUGEINT) IS NULL OR p::HUGEINT > 255)) = 0"),
+    (
+        "card",
+        r"[0-9](?:[ -]?[0-9])+",
+        """length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(d)), lambda j:
+             CASE WHEN j % 2 = 0 THEN substr(d, (length(d) - j)::BIGINT, 1)::INT
+                  ELSE (2 * substr(d, (length(d) - j)::BIGINT, 1)::INT) // 10 + (2 * substr(d, (length(d) - j)::BIGINT, 1)::INT) % 10
+             END)) % 10 = 0""",
+    ),
+    ("phone", r"\+[0-9][ ().0-9-]+[0-9]", "length(d) BETWEEN 9 AND 15"),
+    (
+        "iban",
+        IBANS,
+        """NOT (CASE WHEN before = '' THEN i > 1 ELSE regexp_matches(before, '[A-Za-z0-9]$') END)
+           AND NOT (CASE WHEN after = '' THEN i < n ELSE regexp_matches(after, '^[A-Za-z0-9]') END)
+           AND list_reduce(list_transform(string_split(substr(replace(x, ' ', ''), 5) || substr(replace(x, ' ', ''), 1, 4), ''),
+             lambda c: ascii(c) - CASE WHEN ascii(c) < 65 THEN 48 ELSE 55 END),
+             lambda r, v: (r * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97, 0) = 1""",
+    ),
+    ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "NOT regexp_matches(x, '^(000|666|9)|-00-|-0000$') AND alone AND near && ['ssn', 'social', 'security'] AND NOT against"),
+    ("tel", r"\(?[0-9]{3,5}\)?[ ./-][0-9]{3,4}[ .-][0-9]{3,4}", f"alone AND near && [{CALLS}] AND NOT against"),
+)
+MATCHED = " UNION ALL ".join(
+    f"SELECT rid, {rank} AS rank, '{kind}' AS kind, regexp_extract_all(t, '{pattern}') AS xs, string_split_regex(t, '{pattern}') AS ps FROM docs"
+    for rank, (kind, pattern, _) in enumerate(FOUND)
+)
+VALID = " ".join(f"WHEN '{kind}' THEN {test}" for kind, _, test in FOUND)
+PII = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+matched AS ({MATCHED}),
+single AS (
+  SELECT rid, rank, kind, unnest(xs) AS x, unnest(ps[1:len(xs)]) AS before, unnest(ps[2:]) AS after,
+         generate_subscripts(xs, 1) AS i, len(xs) AS n
+  FROM matched WHERE len(xs) > 0
+),
+placed AS (
+  SELECT *, sum(length(before) + length(x)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop,
+         regexp_replace(x, '[^0-9]+', '', 'g') AS d,
+         string_split_regex(lower(right(before, 40) || ' ' || left(after, 20)), '[^\\p{{L}}]+') AS near,
+         near && [{AGAINST}] AS against,
+         NOT (CASE WHEN before = '' THEN i > 1 ELSE regexp_matches(before, '[0-9+-]$') END)
+           AND NOT (CASE WHEN after = '' THEN i < n ELSE regexp_matches(after, '^[0-9+-]') END) AS alone
+  FROM single
+),
+good AS (
+  SELECT rid, rank, kind, (stop - length(x))::BIGINT AS start, stop::BIGINT AS stop
+  FROM placed WHERE CASE kind {VALID} END
+),
+free AS (
+  SELECT * FROM good WHERE rank < 5 OR NOT EXISTS (
+    SELECT 1 FROM good AS s WHERE s.rid = good.rid AND s.rank < 5 AND s.start < good.stop AND s.stop > good.start)
+),
+listed AS (
+  SELECT rid, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+         string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, rank) AS spans
+  FROM free GROUP BY rid
+)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card,
+       coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (rid)
+"""
+
+# Fixed values of the contract: what is no term, scale and smoothing of the shares.
+NO_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+SHARE = "1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v)"
+DIVERGENCE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{NO_TERM}') AS terms
+  FROM documents
+),
+word AS (SELECT rid, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+held AS (SELECT lang, source, term, count(*) AS n FROM word JOIN kept USING (lang, term) GROUP BY ALL),
+bag AS (SELECT DISTINCT lang, source FROM docs),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+bag_total AS (SELECT lang, source, sum(n) AS total FROM held GROUP BY lang, source),
+lang_total AS (SELECT lang, sum(n) AS total FROM held GROUP BY lang),
+grid AS (
+  SELECT bag.lang, bag.source, kept.term, coalesce(held.n, 0) AS n,
+         {SHARE.format(n="coalesce(held.n, 0)", total="coalesce(bag_total.total, 0)")} AS p
+  FROM bag JOIN kept ON kept.lang = bag.lang JOIN size ON size.lang = bag.lang
+  LEFT JOIN bag_total ON bag_total.lang = bag.lang AND bag_total.source = bag.source
+  LEFT JOIN held ON held.lang = bag.lang AND held.source = bag.source AND held.term = kept.term
+),
+whole AS (
+  SELECT held.lang, held.term, {SHARE.format(n="sum(held.n)", total="any_value(lang_total.total)").replace("* v", "* any_value(v)")} AS q
+  FROM held JOIN size USING (lang) JOIN lang_total USING (lang) GROUP BY held.lang, held.term
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM bag AS a JOIN bag AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM grid AS x JOIN grid AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) AS f ON f.lang = a.lang AND f.source = a.source AND f.other = b.source
+),
+terms AS (
+  SELECT grid.lang, source, grid.term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM grid JOIN whole ON whole.lang = grid.lang AND whole.term = grid.term WHERE n > 0 AND p > q
+),
+every AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value FROM terms
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank FROM every
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+SQL = {"op6_line_dedup": LINES, "op10_quality": QUALITY, "op11_pii": PII, "op12_divergence": DIVERGENCE}
