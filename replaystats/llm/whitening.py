@@ -124,39 +124,63 @@ def _covariance(rows: DataFrame, n: int, sums: list[int]) -> np.ndarray:
     return matrix
 
 
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Matrix product in extended precision out of double-precision ones. Each factor is split into three
+    slices of so few digits that products of slices are exact; what is left out is below 2^-60."""
+    bits = (53 - max(a.shape[1] - 1, 1).bit_length()) // 2
+
+    def slices(m: np.ndarray, axis: int) -> list[np.ndarray]:
+        rest, out = m.astype(np.longdouble), []
+        for _ in range(3):
+            top = np.abs(rest).max(axis=axis, keepdims=True)
+            unit = np.ldexp(np.longdouble(1), np.frexp(np.where(top > 0, top, 1))[1] - bits)
+            part = np.round(rest / unit) * unit
+            out.append(part.astype(float))
+            rest = rest - part
+        return out
+
+    left, right = slices(a, 1), slices(b, 0)
+    # The small products first, so that the sum keeps their digits.
+    order = sorted(((i, j) for i in range(3) for j in range(3 - i)), key=sum, reverse=True)
+    return sum((np.longdouble(1) * (left[i] @ right[j]) for i, j in order), np.longdouble(0))
+
+
 def refined_eigenvectors(matrix: np.ndarray, steps: int = 12) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues, falling, and unit eigenvectors of a symmetric matrix, from a single-precision start.
 
-    Extended precision holds the products. A step corrects all well-separated pairs at once; pairs closer
-    than the step's error bound stay unresolved in it, and a small eigenproblem over each such cluster,
-    shifted by its mean so that its differences keep their digits, rotates the cluster's vectors.
+    A step corrects all well-separated pairs at once, by products in extended precision; pairs closer than
+    the step's error bound stay unresolved in it, and a small eigenproblem over each such cluster, shifted
+    by its mean so that its differences keep their digits, turns the cluster's vectors. Eigenvalues closer
+    than the rounding of the matrix itself stay a cluster to the end: their vectors are any basis of it.
     """
-    a = matrix.astype(np.longdouble)
-    scale = np.abs(a).max()
+    scale = np.abs(matrix).max(initial=0.0)
     if not scale > 0:
-        return np.zeros(len(a)), np.eye(len(a))
-    a = a / scale
+        return np.zeros(len(matrix)), np.eye(len(matrix))
+    a = matrix.astype(np.longdouble) / scale
     _, start = np.linalg.eigh(a.astype(np.float32))
     x = start[:, ::-1].astype(np.longdouble)
     eye = np.eye(len(a), dtype=np.longdouble)
     norm = np.linalg.norm(a.astype(float), 2)
+    least = len(a) * np.finfo(float).eps * norm
     for _ in range(steps):
-        rest = eye - x.T @ x
-        s = x.T @ a @ x
+        rest = eye - product(x.T, x)
+        s = product(x.T, product(a, x))
         values = np.diag(s) / (1 - np.diag(rest))
         off = s - np.diag(values)
-        bound = 2 * (np.linalg.norm(off.astype(float), 2) + norm * np.linalg.norm(rest.astype(float), 2))
+        bound = max(2 * (np.linalg.norm(off.astype(float), 2) + norm * np.linalg.norm(rest.astype(float), 2)), least)
         gap = values[None, :] - values[:, None]
         far = np.abs(gap) > bound
         e = np.where(far, (s + values[None, :] * rest) / np.where(far, gap, 1), rest / 2)
-        x = x + x @ e
+        x = x + product(x, e)
         for group in _clusters(values, bound):
             x[:, group] = _separated(a, x[:, group])
-        if np.abs(e).max() < 1e-17:
+        # The next correction is the square of this one.
+        if np.abs(e).max() < 1e-9:
             break
-    values = np.einsum("ij,ij->j", x, a @ x) / np.einsum("ij,ij->j", x, x)
+    x = x + product(x, eye - product(x.T, x)) / 2
+    values = (x * product(a, x)).sum(0) / (x * x).sum(0)
     order = np.argsort(-values, kind="stable")
-    x = x[:, order] / np.sqrt(np.einsum("ij,ij->j", x, x))[order]
+    x = x[:, order] / np.sqrt((x * x).sum(0))[order]
     x = x * np.sign(x[np.abs(x).argmax(0), np.arange(len(x))])
     return (values[order] * scale).astype(float), x.astype(float)
 
@@ -171,18 +195,16 @@ def _clusters(values: np.ndarray, bound: float) -> Iterator[np.ndarray]:
 def _separated(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """The eigenvectors inside the space of the columns of ``x``."""
     for _ in range(2):
-        q = x.copy()
-        for j in range(q.shape[1]):  # orthonormal columns in extended precision
-            for _ in range(2):
-                q[:, j] -= q[:, :j] @ (q[:, :j].T @ q[:, j])
-            q[:, j] /= np.sqrt(q[:, j] @ q[:, j])
-        mean = np.einsum("ij,ij->j", q, a @ q).mean()
-        inner = q.T @ (a @ q - mean * q)
+        q = np.linalg.qr(x.astype(float))[0].astype(np.longdouble)
+        for _ in range(2):  # orthonormal to extended precision
+            q = q + product(q, np.eye(q.shape[1]) - product(q.T, q)) / 2
+        mean = (q * product(a, q)).sum(0).mean()
+        inner = product(q.T, product(a, q) - mean * q)
         size = np.abs(inner).max()
-        if not size > np.finfo(np.longdouble).eps * 16:
+        if not size > np.finfo(np.longdouble).eps * 64:
             return q
         _, turn = np.linalg.eigh((inner / size).astype(float))
-        x = q @ turn[:, ::-1].astype(np.longdouble)
+        x = product(q, turn[:, ::-1])
     return x
 
 
