@@ -110,3 +110,17 @@ LATEST_SKILL = T.StructType(
 )
 
 SEEN_ID = T.StructType([T.StructField("gameId", T.StringType())])
+
+# A day on which player rows of a match are stored.
+PLAYER_DAY = T.StructType([T.StructField("replay_id", T.StringType()), T.StructField("day", T.DateType())])
+
+# What became of one state of an ingested file.
+FILE_OUTCOME = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modified_at", T.TimestampType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+    ]
+)

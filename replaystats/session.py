@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -97,6 +97,14 @@ def clear_staged(spark: SparkSession) -> None:
     delete(spark, f"{staging_root(spark)}/{_RUN.get()}")
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner would broadcast ``df``: its estimated size, exact for a staged table, is below
+    the session's threshold."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder on whatever file system it lies."""
     target, system = _on_file_system(spark, path)
@@ -108,15 +116,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def move(spark: SparkSession, path: str, target: str) -> None:
-    """Rename a file; a file of that name at the target is replaced."""
-    source, system = _on_file_system(spark, path)
-    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
-    system.mkdirs(goal.getParent())
-    if system.exists(goal):
-        system.delete(goal, False)
-    if not system.rename(source, goal):
-        raise OSError(f"could not move {path} to {target}")
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, system = _on_file_system(spark, path)
+    system.mkdirs(target)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, time of the last change in milliseconds) of what lies directly in a folder."""
+    target, system = _on_file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [(f.getPath().getName(), f.getModificationTime()) for f in system.listStatus(target)]
+
+
+def move(spark: SparkSession, url: str, folders: Sequence[str]) -> str | None:
+    """Move a file into the first of ``folders`` where its name is free, or, if it is free in none, into
+    the last one under a name of its own. ``url`` is percent-encoded, as Spark's readers give it.
+    The new place, or None if the file could not be moved."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source = path(spark._jvm.java.net.URI(url))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    name = source.getName()
+    stem, dot, ending = name.rpartition(".")
+    free = [(f, name) for f in folders] + [(folders[-1], f"{stem or name}.{uuid.uuid4().hex}{dot}{ending if stem else ''}")]
+    for folder, called in free:
+        goal = path(path(folder), called)
+        if system.exists(goal):
+            continue
+        if system.rename(source, goal):
+            return goal.toString()
+    return None
 
 
 def _on_file_system(spark: SparkSession, path: str):
