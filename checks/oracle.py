@@ -158,6 +158,70 @@ SELECT user_id, '{"userId":' || user_id || ',"games":' || games || '}' AS json_d
   CASE WHEN late THEN DATE '2000-06-30' ELSE DATE '1999-12-31' END AS data_end_date
 FROM pages QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY late DESC) = 1"""
 
+
+
+def numbered(part: str, key: str, columns: list[str], source: str) -> str:
+    """A row (user, part, key, pos, text, number) for each of the columns, which are numbers."""
+    return " UNION ALL ".join(
+        f"SELECT user_id, '{part}' AS part, {key} AS key, {n} AS pos, NULL AS text, CAST({c} AS DOUBLE) AS number FROM {source}"
+        for n, c in enumerate(columns)
+    )
+
+
+def named(part: str, columns: dict[str, str], pos: str, source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT user_id, '{part}', '{key}', {pos}, CAST({c} AS VARCHAR), NULL FROM {source}" for key, c in columns.items()
+    )
+
+
+HARD, EASY = rate("wa", "ga", 2), rate("wb", "gb", 2)
+PAGE_FIELDS = f"""{PAGE}, {LATEST}, {MODES}, {RATED}, {WINLOSS}, {LOBBY}, {FACTIONS},
+users AS (SELECT DISTINCT user_id FROM base),
+totals AS (
+  SELECT u.user_id, coalesce(sum(wins), 0) AS wins, coalesce(sum(losses), 0) AS losses
+  FROM users u LEFT JOIN winloss w ON u.user_id = w.user_id GROUP BY u.user_id),
+played AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_time DESC, replay_id DESC, player_id DESC,
+    username DESC, faction DESC, won DESC NULLS FIRST) - 1 AS n FROM relevant),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY last_at DESC, username DESC) - 1 AS n FROM (
+    SELECT user_id, username, max(start_time) AS last_at FROM relevant WHERE username IS NOT NULL GROUP BY 1, 2)),
+active AS (
+  SELECT user_id, CAST(start_time AS DATE) AS day, count(*) AS games, avg(CAST(skill AS DOUBLE)) AS avg_skill
+  FROM relevant GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC) <= 84),
+lobby_keys AS (SELECT DISTINCT user_id, category FROM lobby),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY faction) - 1 AS n FROM factions),
+snaps AS (
+  SELECT user_id, category, CAST(start_time AS DATE) AS day, avg(CAST(skill AS DOUBLE)) AS skill FROM candidates
+  WHERE start_time >= TIMESTAMP '1999-07-17' AND user_id IN (SELECT user_id FROM users) GROUP BY 1, 2, 3),
+days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1999-07-17', TIMESTAMP '2000-01-01', INTERVAL 1 DAY)) AS DATE) AS day),
+series AS (
+  SELECT k.user_id, k.category, d.day, coalesce(skill, lag(skill, 1, 0.0) OVER (PARTITION BY k.user_id, k.category ORDER BY d.day)) AS value
+  FROM (SELECT DISTINCT user_id, category FROM snaps) k CROSS JOIN days d
+  LEFT JOIN snaps s ON s.user_id = k.user_id AND s.category = k.category AND s.day = d.day)
+SELECT user_id, part, key, CAST(pos AS BIGINT) AS pos, text, number FROM (
+{numbered("page", "''", ["1", "user_id"], "users")}
+UNION ALL {numbered("total", "''", ["wins", "losses", "wins + losses", rate("wins", "(wins + losses)", 1, pct=True)], "totals")}
+UNION ALL {numbered("skill", "category", [pg_round("os_real", 1, 6), pg_round("as_rating", 2), "ga", HARD, "gb", EASY], "adjusted")}
+UNION ALL SELECT user_id, 'skill', category, 6, strftime(last_played, '%Y-%m-%d'), NULL FROM adjusted
+UNION ALL {numbered("mode", "category", ["wins", "losses", rate("wins", "(wins + losses)", 1, pct=True)], "winloss")}
+UNION ALL {named("history", {"date": "strftime(start_time, '%d %b %Y')", "mode": "category", "map": "map_name",
+    "result": "CASE WHEN won THEN 'Win' ELSE 'Loss' END", "faction": "faction", "ranked": "ranked", "username": "username"},
+    "n", "played WHERE n < 10")}
+UNION ALL {named("name", {"name": "username", "lastSeen": "strftime(last_at, '%Y-%m-%d')"}, "n", "seen")}
+UNION ALL {numbered("activity", "strftime(day, '%Y-%m-%d')", ["games", pg_round("avg_skill", 1)], "active")}
+UNION ALL SELECT user_id, 'lobbyOrder', '', row_number() OVER (PARTITION BY user_id ORDER BY category <> 'All', category) - 1, category, NULL FROM lobby_keys
+UNION ALL SELECT user_id, 'lobby', category, bin, NULL, games FROM lobby_dense
+UNION ALL SELECT user_id, 'factionOrder', '', row_number() OVER (PARTITION BY user_id ORDER BY category <> 'All', category) - 1, category, NULL
+  FROM (SELECT DISTINCT user_id, category FROM factions)
+UNION ALL SELECT user_id, 'faction', category, n, faction, NULL FROM placed
+UNION ALL SELECT user_id, 'factionWins', category, n, NULL, wins FROM placed
+UNION ALL SELECT user_id, 'factionLosses', category, n, NULL, losses FROM placed
+UNION ALL SELECT user_id, 'day', '', CAST(day - DATE '1999-07-17' AS BIGINT), strftime(day, '%Y-%m-%d'), NULL
+  FROM (SELECT DISTINCT user_id FROM snaps) CROSS JOIN days
+UNION ALL SELECT user_id, 'series', category, CAST(day - DATE '1999-07-17' AS BIGINT), NULL, {pg_round("value", 1)} FROM series)"""
+
 ORACLE = {
     "category_win_rate": f"""{ALL_MATCHES}
 SELECT category, count(*) FILTER (WHERE won) AS wins, count(*) FILTER (WHERE NOT won) AS losses,
@@ -349,6 +413,7 @@ SELECT u.user_id,
   CASE WHEN EXISTS (SELECT 1 FROM snaps s WHERE s.user_id = u.user_id) THEN CAST(169 AS BIGINT) ELSE 0 END AS labels,
   (SELECT count(*) FROM snaps s WHERE s.user_id = u.user_id) AS datasets
 FROM (SELECT DISTINCT user_id FROM base) u""",
+    "page_fields": PAGE_FIELDS,
     "upsert_pages": TWO_WINDOWS,
     "read_pages": f"SELECT user_id, json_data FROM ({TWO_WINDOWS}) WHERE data_end_date = DATE '1999-12-31'",
     "listing_filter": """SELECT o_orderkey AS replay_id, o_orderdate AS start_time FROM orders

@@ -103,7 +103,7 @@ def derived_matches(v: Views) -> DataFrame:
         F.lit("stale").alias("game_version"),
         F.lit(0).alias("spectator_count"),
     )
-    batch = match_plan.match_batch(v.archive(), v.cache(), stale, lambda first, last: v.players(), "1996-01-01")
+    batch = match_plan.match_batch(v.archive(), v.cache(), stale, lambda replays: v.players(), "1996-01-01")
     out = match_plan.upsert_matches(stale, batch)
     return out.withColumn("avg_lobby_skill", r4(dbl("avg_lobby_skill")))
 
@@ -648,6 +648,78 @@ def pages_json(v: Views) -> DataFrame:
     return page_plan.page_rows(pages, *WINDOW, ORDERS_AS_OF)
 
 
+# The fields of the written document that are read back. Numbers as their text, so that their form counts.
+_MODE = "struct<os:string,as:string,ga:string,wa:string,gb:string,wb:string,lastPlayed:string>"
+_WON = "struct<wins:string,losses:string,rate:string>"
+_CHART = "struct<labels:array<string>,datasets:array<struct<label:string,data:array<string>>>>"
+_PAGE = (
+    "_version string, _generated string, userId string"
+    f", skillPerMode map<string,{_MODE}>"
+    f", winLossSummary struct<total:struct<wins:string,losses:string,games:string,winRate:string>,perMode:map<string,{_WON}>>"
+    ", matchHistory array<struct<date:string,mode:string,map:string,result:string,faction:string,ranked:string,username:string>>"
+    ", usernames array<struct<name:string,lastSeen:string>>"
+    ", activityData map<string,struct<games:string,avgSkill:string>>"
+    ", lobbyData map<string,array<string>>"
+    f", factionData map<string,{_CHART}>"
+    f", skillHistory {_CHART}"
+)
+
+
+@query
+def page_fields(v: Views) -> DataFrame:
+    """Every value of every page, read back from the written text: a row per value, with its place."""
+    pages = page_plan.assemble_pages(_components(v), ORDERS_AS_OF)
+    written = page_plan.page_rows(pages, *WINDOW, ORDERS_AS_OF).select("user_id", "json_data")
+    page = written.select("user_id", "json_data", F.from_json("json_data", _PAGE).alias("p"))
+    none = F.lit("")
+
+    def entry(part: Column | str, key: Column, pos: Column, value: Column) -> Column:
+        part = F.lit(part) if isinstance(part, str) else part
+        return F.struct(part.alias("part"), key.alias("key"), pos.cast("long").alias("pos"), value.alias("value"))
+
+    def fields(part: str, key: Column, row: Column, names: str) -> list[Column]:
+        return [entry(part, key, F.lit(n), row[name]) for n, name in enumerate(names.split())]
+
+    def of_map(part: str, column: str, names: str) -> Column:
+        rows = F.transform(F.map_entries(column), lambda e: F.array(*fields(part, e["key"], e["value"], names)))
+        return F.flatten(rows)
+
+    def of_list(part: str, column: Column, names: str) -> Column:
+        return F.flatten(F.transform(column, lambda r, i: F.array(*[entry(part, F.lit(n), i, r[n]) for n in names.split()])))
+
+    def values(part: str, key: Column, column: Column) -> Column:
+        return F.transform(column, lambda x, i: entry(part, key, i, x))
+
+    def keys(part: str, path: str) -> Column:
+        """The keys in the order in which they stand in the text."""
+        return values(part, none, F.json_object_keys(F.get_json_object("json_data", path)))
+
+    def charts(e: Column) -> Column:
+        of = lambda n: values(F.concat(F.lit("faction"), F.get(e["value"]["datasets"], F.lit(n))["label"]), e["key"], F.get(e["value"]["datasets"], F.lit(n))["data"])
+        return F.concat(values("faction", e["key"], e["value"]["labels"]), of(0), of(1))
+
+    head = fields("page", none, F.col("p"), "_version userId")
+    total = fields("total", none, F.col("p.winLossSummary.total"), "wins losses games winRate")
+    rows = F.concat(
+        F.array(*head, *total),
+        of_map("skill", "p.skillPerMode", "os as ga wa gb wb lastPlayed"),
+        of_map("mode", "p.winLossSummary.perMode", "wins losses rate"),
+        of_list("history", F.col("p.matchHistory"), "date mode map result faction ranked username"),
+        of_list("name", F.col("p.usernames"), "name lastSeen"),
+        of_map("activity", "p.activityData", "games avgSkill"),
+        keys("lobbyOrder", "$.lobbyData"),
+        F.flatten(F.transform(F.map_entries("p.lobbyData"), lambda e: values("lobby", e["key"], e["value"]))),
+        keys("factionOrder", "$.factionData"),
+        F.flatten(F.transform(F.map_entries("p.factionData"), charts)),
+        values("day", none, F.col("p.skillHistory.labels")),
+        F.flatten(F.transform(F.col("p.skillHistory.datasets"), lambda d: values("series", d["label"], d["data"]))),
+    )
+    flat = page.select("user_id", F.inline(rows))
+    # Texts stay, numbers are compared by value.
+    number = F.when(~F.col("part").isin("history", "name", "day", "faction"), F.col("value").try_cast("double"))
+    return flat.select("user_id", "part", "key", "pos", F.when(number.isNull(), F.col("value")).alias("text"), number.alias("number"))
+
+
 def _two_windows(v: Views) -> DataFrame:
     """Pages of two windows: users of the later window get the later page."""
 

@@ -8,21 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replaystats.operators.keyed import first_per_key
+from replaystats.session import fits_broadcast
 
 
 def not_in(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``large``. Rows with a NULL key part match nothing and stay.
 
-    A plain anti join can broadcast only its right side, and would shuffle a large table for
-    every small batch. Here the large side is first cut down by a semi join to the keys that
-    occur, which needs no shuffle of ``large`` when the planner finds ``df`` small enough to
-    broadcast. The rows with a NULL key part skip the joins, so they cannot pile up in one task.
+    An anti join can broadcast only its right side, and would shuffle a large table for every small
+    batch. So where ``df`` is small enough to broadcast, the large side is first cut down by a semi
+    join to the keys that occur, and stays where it is. Beyond that a plain anti join shuffles each
+    side once. The rows with a NULL key part skip the joins, so they cannot pile up in one task.
     """
     keys = list(keys)
     has_key = all_present(keys)
-    keyed = df.filter(has_key)
-    wanted = keyed.select(*keys).distinct()
-    known = large.select(*keys).join(wanted, keys, "left_semi").distinct()
+    keyed, known = df.filter(has_key), large.select(*keys)
+    if fits_broadcast(keyed.select(*keys)):
+        known = known.join(F.broadcast(keyed.select(*keys).distinct()), keys, "left_semi").distinct()
     return keyed.join(known, keys, "left_anti").select(*df.columns).unionByName(df.filter(~has_key))
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from replaystats.functions.scalars import older_than
 from replaystats.operators.joins import all_present, not_in, only_in
 from replaystats.operators.keyed import first_per_key, oldest_batch
+from replaystats.session import fits_broadcast
+
+_STORED = "_stored"
 
 # Fixed value: age of a move from the cache to the archive.
 MOVE_AFTER_HOURS = 24
@@ -27,12 +30,23 @@ def insert_ignore(
 
     Of batch rows with the same key the first in ``order`` stays. As in a unique index, a key
     with a NULL part conflicts with nothing, so those rows all pass, around the joins.
+
+    A batch small enough to broadcast leaves the target where it is. Beyond that the keys of the
+    target join the batch in one shuffle, as rows that come before all others of their key: a batch
+    row is new if it is the first of its key. Each task sends one row a key, so no key is hot.
     """
     keys = list(keys)
     has_key = all_present(keys)
     order = order or [F.col(c).asc_nulls_last() for c in batch.columns if c not in keys] or [F.lit(0)]
-    unique = first_per_key(batch.filter(has_key), keys, order)
-    return not_in(unique, target, keys).unionByName(batch.filter(~has_key))
+    keyed = batch.filter(has_key)
+    if fits_broadcast(keyed):
+        new = not_in(first_per_key(keyed, keys, order), target, keys)
+    else:
+        stored = target.select(*keys).filter(has_key).withColumn(_STORED, F.lit(True))
+        both = keyed.withColumn(_STORED, F.lit(False)).unionByName(stored, allowMissingColumns=True)
+        first = first_per_key(both, keys, [F.desc(_STORED), *order])
+        new = first.filter(~F.col(_STORED)).select(*batch.columns)
+    return new.unionByName(batch.filter(~has_key))
 
 
 def insert_match_players(target: DataFrame, batch: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -47,8 +61,8 @@ def insert_match_players(target: DataFrame, batch: DataFrame, order: Sequence[Co
     stored_unknown = target.filter(F.col("user_id").isNull())
     # A row whose (user, match) is stored is dropped here, so a full (match, user, player)
     # conflict with the target cannot be left over: only repeats in the batch remain.
-    fresh = not_in(known, stored_known, ["user_id", "replay_id"])
-    return _first_of_whole_keys(fresh, ["replay_id", "user_id", "player_id"], order).unionByName(
+    unique = _first_of_whole_keys(known, ["replay_id", "user_id", "player_id"], order)
+    return not_in(unique, stored_known, ["user_id", "replay_id"]).unionByName(
         insert_ignore(stored_unknown, unknown, ["replay_id", "player_id"], order)
     )
 

@@ -1,0 +1,188 @@
+"""Folder ingest: names, clashes, crashes, the journal, and files that are still being written."""
+
+from __future__ import annotations
+
+import json
+import os
+import time
+from datetime import datetime, timedelta
+
+import pytest
+
+from replaystats.plans import jobs
+from replaystats.sources import journal, meta
+from replaystats.sources import tables as t
+from replaystats.sources.tables import Tables
+from replaystats.streaming.ingest import ingest_stream, utc_now
+from tests.conftest import document, rows
+
+LATER = datetime(2100, 1, 1)
+NAMES = ["map name 1", "Ärger & Größe", "100%25 sure", "a[1]", "b{c,d}", "plus+x#y;z=1", "日本"]
+
+
+def put(folder, name, ident, **extra):
+    folder.mkdir(parents=True, exist_ok=True)
+    text = json.dumps(document(ident, "2025-05-20T10:00:00.000Z", [(1, "a", 0, 1, "[20.5]", "x")], **extra))
+    path = folder / f"{name}.json"
+    path.write_text(text)
+    return path
+
+
+def names(folder):
+    return sorted(p.name for p in folder.glob("*.json"))
+
+
+def ids(tables):
+    return sorted(r[0] for r in rows(tables.read(t.RAW_CACHE), "replay_id"))
+
+
+@pytest.fixture
+def place(spark, tmp_path):
+    return Tables(spark, str(tmp_path / "tables")), tmp_path / "in box", tmp_path / "done ß", tmp_path / "set aside"
+
+
+def test_any_file_name(spark, place):
+    tables, inbox, done, aside = place
+    for n, name in enumerate(NAMES):
+        put(inbox, name, f"m{n}")
+    (inbox / "bad one.json").write_text("{")
+    got = jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done))
+    assert got == {"inserted": len(NAMES), "skipped": 0, "bad": 1}
+    assert names(done) == sorted(f"{n}.json" for n in NAMES)
+    assert names(aside) == ["bad one.json"] and names(inbox) == []
+
+
+def test_a_taken_name_loses_no_file(spark, place):
+    tables, inbox, done, aside = place
+    for n in range(3):
+        put(inbox, "same name", f"m{n}")
+        (inbox / "bad.json").write_text("{" * (n + 1))
+        jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done))
+    assert ids(tables) == ["m0", "m1", "m2"]
+    assert names(done) == ["same name.json"] and names(inbox) == []
+    kept = {p.read_text() for p in aside.glob("*.json")}
+    assert len(names(aside)) == 5 and {"{", "{{", "{{{"} <= kept
+    assert {json.loads(x)["id"] for x in kept if not x.endswith("{")} == {"m1", "m2"}
+
+
+def test_known_files_are_not_opened_again(spark, place, monkeypatch):
+    tables, inbox, *_ = place
+    for n in range(5):
+        put(inbox, f"f{n}", f"m{n}")
+    (inbox / "bad.json").write_text("{")
+    assert jobs.ingest_meta(spark, str(inbox), tables, LATER) == {"inserted": 5, "skipped": 0, "bad": 1}
+    with monkeypatch.context() as closed:
+        closed.setattr(jobs, "read_meta_files", lambda *a: pytest.fail("a known file was opened"))
+        assert jobs.ingest_meta(spark, str(inbox), tables, LATER) == {"inserted": 0, "skipped": 5, "bad": 1}
+    put(inbox, "f9", "m9")
+    put(inbox, "f0", "m0 again", mapId="99999")  # another document under a known name
+    (inbox / "bad.json").write_text(json.dumps(document("mended", "2025-05-20T10:00:00.000Z", [])))
+    assert jobs.ingest_meta(spark, str(inbox), tables, LATER) == {"inserted": 3, "skipped": 4, "bad": 0}
+    assert ids(tables) == ["m0", "m0 again", "m1", "m2", "m3", "m4", "m9", "mended"]
+
+
+def test_only_the_named_files_are_read(spark, place):
+    _, inbox, *_ = place
+    for n, name in enumerate(NAMES):
+        put(inbox, name, f"m{n}")
+    paths = [r.path for r in meta.list_meta_files(spark, str(inbox)).collect()]
+    files = meta.only_files(meta.read_meta_files(spark, str(inbox)), paths[:2])
+    assert sorted(r.path for r in files.collect()) == sorted(paths[:2])
+    plan = files._jdf.queryExecution().executedPlan()
+    plan.execute()
+    metrics = plan.collectLeaves().head().metrics()
+    assert metrics.apply("numFiles").value() == 2
+
+
+def test_portions(spark, place):
+    tables, inbox, done, aside = place
+    for n in range(7):
+        put(inbox, f"f {n}", f"m{n}")
+    got = jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done), max_files=3)
+    assert got["inserted"] == 7 and len(names(done)) == 7
+
+
+def test_crash_in_the_hand_off(spark, place, monkeypatch):
+    tables, inbox, done, aside = place
+    put(inbox, "a b", "m1")
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "hand_off", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done))
+    assert ids(tables) == ["m1"] and names(inbox) == ["a b.json"]
+    assert jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done)) == {"inserted": 0, "skipped": 1, "bad": 0}
+    assert ids(tables) == ["m1"] and names(done) == ["a b.json"]
+
+
+def test_crash_before_the_journal(spark, place, monkeypatch):
+    tables, inbox, done, aside = place
+    put(inbox, "a", "m1")
+    with monkeypatch.context() as broken:
+        broken.setattr(journal, "record", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done))
+    assert jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done)) == {"inserted": 0, "skipped": 1, "bad": 0}
+    assert ids(tables) == ["m1"] and names(done) == ["a.json"]
+
+
+def test_a_file_that_cannot_be_moved_is_counted(spark, place):
+    _, inbox, done, aside = place
+    path = put(inbox, "a", "m1")
+    url = path.as_uri()
+    files = spark.createDataFrame([(url, True), (url + ".missing", True)], "path string, good boolean")
+    assert meta.hand_off(spark, files, str(done), str(aside)) == {"moved": 1, "failed": 1}
+
+
+def drain(spark, place, tmp_path, **more):
+    tables, inbox, _, aside = place
+    query = ingest_stream(spark, str(inbox), tables, str(tmp_path / "checkpoint"), str(aside), **more)
+    query.awaitTermination()
+
+
+def test_stream_takes_a_half_written_file_once_complete(spark, place, tmp_path):
+    tables, inbox, _, aside = place
+    whole = put(inbox, "slow one", "slow").read_text()
+    (inbox / "slow one.json").write_text(whole[: len(whole) // 2])
+    old = put(inbox, "old", "old")
+    os.utime(old, (time.time() - 60,) * 2)
+    drain(spark, place, tmp_path)
+    assert ids(tables) == ["old"]
+    assert not aside.exists() or spark.read.schema("path string").json(str(aside)).count() == 0  # young, so not judged
+    (inbox / "slow one.json").write_text(whole)
+    drain(spark, place, tmp_path)
+    assert ids(tables) == ["old"]  # complete, but young
+    os.utime(inbox / "slow one.json", (time.time() - 30,) * 2)
+    drain(spark, place, tmp_path)
+    assert ids(tables) == ["old", "slow"]
+    assert tables.read(t.INGEST_RETRY).count() == 0
+
+
+def test_stream_takes_a_broken_file_once_mended(spark, place, tmp_path):
+    tables, inbox, _, aside = place
+    whole = put(inbox, "stalled", "stalled").read_text()
+    (inbox / "stalled.json").write_text(whole[:20])  # its writer paused for longer than the gate
+    os.utime(inbox / "stalled.json", (time.time() - 60,) * 2)
+    drain(spark, place, tmp_path)
+    drain(spark, place, tmp_path)
+    assert ids(tables) == [] and spark.read.json(str(aside)).count() == 1
+    (inbox / "stalled.json").write_text(whole)
+    os.utime(inbox / "stalled.json", (time.time() - 30,) * 2)
+    put(inbox, "next", "next")  # taken up by a batch, not by the start of the stream
+    os.utime(inbox / "next.json", (time.time() - 30,) * 2)
+    drain(spark, place, tmp_path)
+    assert ids(tables) == ["next", "stalled"]
+    assert jobs.JOBS["retry_files"].run(tables, str(inbox), str(aside), utc_now()) == {"inserted": 0, "skipped": 0, "bad": 0}
+
+
+def test_stream_hands_off_like_the_batch_form(spark, place, tmp_path):
+    tables, inbox, done, aside = place
+    clock = lambda: utc_now() + timedelta(hours=1)
+    for n in range(2):
+        put(inbox, "same name", f"m{n}")
+        drain(spark, place, tmp_path, processed=str(done), clock=clock)
+        put(inbox, "same name", "later")  # a name the stream has seen is left to the batch form
+    assert names(done) == ["same name.json"] and ids(tables) == ["m0"]
+    jobs.ingest_meta(spark, str(inbox), tables, LATER, str(aside), str(done))
+    assert ids(tables) == ["later", "m0"] and names(aside) == ["same name.json"]
+    with pytest.raises(ValueError, match="archive and processed"):
+        ingest_stream(spark, str(inbox), tables, str(tmp_path / "c2"), str(aside), archive="x", processed="y")
