@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from checks.job_queries import ORACLE as JOB_ORACLE
+
 # The words that a PostgreSQL boolean takes.
 TRUE_WORDS = ["t", "tr", "tru", "true", "y", "ye", "yes", "on", "1"]
 FALSE_WORDS = ["f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0"]
@@ -441,6 +443,19 @@ SELECT user_id, part, CAST(coalesce(sum(length) OVER (PARTITION BY part ORDER BY
     "stream_snapshots": """SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS category,
   round(CAST(max(CAST(value AS REAL)) AS DOUBLE), 4) AS skill, ts AS start_time FROM events GROUP BY 1, 2, 4""",
     "stream_daily_skill": """SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS category, CAST(ts AS DATE) AS day,
+  round(avg(CAST(CAST(value AS REAL) AS DOUBLE)), 4) AS avg_skill FROM events GROUP BY 1, 2, 3""",
+    "stream_closed_days": """SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS category, CAST(ts AS DATE) AS day,
   round(avg(CAST(CAST(value AS REAL) AS DOUBLE)), 4) AS avg_skill FROM events
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 36 HOUR GROUP BY 1, 2, 3""",
+    "rejected_values": """WITH marked AS (
+  SELECT l_orderkey AS replay_id, CAST(l_linenumber AS INTEGER) AS player_id, l_suppkey, l_quantity, l_linestatus,
+         l_linenumber = 3 AND l_quantity > 40 AS bad_user, l_linenumber = 4 AND l_quantity > 30 AS bad_skill,
+         l_linenumber = 5 AND l_quantity > 45 AS bad_won, l_linenumber = 3 AND l_quantity > 45 AS bad_rank FROM lineitem)
+SELECT replay_id, player_id, 'userId' AS field, 'u17' AS value FROM marked WHERE bad_user
+UNION ALL SELECT replay_id, player_id, 'rank', '9.5.1' FROM marked WHERE bad_rank
+UNION ALL SELECT replay_id, player_id, 'skill', '[n/a]' FROM marked WHERE bad_skill
+UNION ALL SELECT replay_id, player_id, 'winningTeam', 'perhaps' FROM marked WHERE bad_won
+UNION ALL SELECT replay_id, player_id, 'kept', l_suppkey || '/' || CAST(l_quantity AS INTEGER) || '/' || (l_linestatus = 'F')
+FROM marked WHERE NOT (bad_user OR bad_skill OR bad_won OR bad_rank)""",
 }
+ORACLE |= JOB_ORACLE

@@ -1,14 +1,14 @@
-"""One query per operator, over the whole test tables."""
+"""One query per operator, over the whole test tables. Those of the jobs are in ``job_queries``."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from checks import job_queries  # noqa: F401  (registers its queries)
+from checks.registry import QUERIES, query, scratch
 from checks.views import (
     EVENTS_AS_OF,
     EVENTS_WATERMARK,
@@ -24,26 +24,15 @@ from replaystats.plans import matches as match_plan
 from replaystats.plans import pages as page_plan
 from replaystats.plans import players as player_plan
 from replaystats.plans import snapshots as snapshot_plan
-from replaystats.session import pin_session, stage, staging_root
+from replaystats.session import stage
 from replaystats.sources import artifacts, manifest, meta
 from replaystats.sources import tables as t
 from replaystats.streaming import snapshots as snapshot_streams
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
 AS_OF_END = EVENTS_AS_OF - incremental.DELAY
 SNAPSHOT_WINDOW = incremental.ScanWindow(EVENTS_WATERMARK - incremental.LOOKBACK, AS_OF_END)
 
 
-def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Views(pin_session(spark), sf_dir))
-
-    QUERIES[build.__name__] = run
-    return build
-
-
 def r4(col: Column | str) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, 4)
 
@@ -256,6 +245,34 @@ def explode_players(v: Views) -> DataFrame:
     return flat.withColumn("skill", dbl("skill"))
 
 
+@query
+def rejected_values(v: Views) -> DataFrame:
+    """Lines as players, some with values that are none: the fields rejected, and the rows left."""
+    bad = {
+        "userId": F.when((F.col("l_linenumber") == 3) & (F.col("l_quantity") > 40), "u17"),
+        "skill": F.when((F.col("l_linenumber") == 4) & (F.col("l_quantity") > 30), "[n/a]"),
+        "winningTeam": F.when((F.col("l_linenumber") == 5) & (F.col("l_quantity") > 45), "perhaps"),
+        "rank": F.when((F.col("l_linenumber") == 3) & (F.col("l_quantity") > 45), "9.5.1"),
+    }
+    text = {
+        "userId": F.col("l_suppkey").cast("string"),
+        "skill": F.concat(F.lit("["), F.col("l_quantity").cast("int").cast("string"), F.lit("]")),
+        "winningTeam": F.when(F.col("l_linestatus") == "F", "true").otherwise("false"),
+        "rank": F.lit(""),
+    }
+    given = {k: F.coalesce(bad[k], text[k]) for k in text}
+    player = F.struct(*[given[k].alias(k) for k in ("userId", "skill", "rank")], F.col("l_linenumber").cast("string").alias("playerId"))
+    team = F.struct(F.lit("0").alias("allyTeamId"), given["winningTeam"].alias("winningTeam"), F.array(player).alias("Players"))
+    lines = v.table("lineitem")
+    document = F.to_json(F.struct(F.array(team).alias("AllyTeams")))
+    docs = lines.select(F.col("l_orderkey").alias("replay_id"), F.col("l_shipdate").alias("start_time"), document.alias("raw_json"))
+    players = generators.explode_valid_players(docs)
+    fields = players.select("replay_id", "player_id", F.inline("rejects"))
+    kept = players.filter(F.size("rejects") == 0)
+    kept = kept.select("replay_id", "player_id", F.lit("kept").alias("field"), F.concat_ws("/", "user_id", F.col("skill").cast("int"), "won").alias("value"))
+    return fields.unionByName(kept)
+
+
 @query
 def calendar_activity(v: Views) -> DataFrame:
     """Every day of a window longer than the data, with the events of the day."""
@@ -795,14 +812,14 @@ def seen_ids(v: Views) -> DataFrame:
     outcomes = v.table("events").select(
         F.col("event_id").cast("string").alias("replay_id"), F.col("ts").alias("start_time"), status.alias("status")
     )
-    root = _scratch(v, "manifest")
+    root = scratch(v, "manifest")
     manifest.append_manifest(outcomes, root)
     return manifest.read_seen_ids(v.spark, root).select(F.col("gameId").alias("game_id"))
 
 
 @query
 def write_by_day(v: Views) -> DataFrame:
-    root = _scratch(v, "by-day")
+    root = scratch(v, "by-day")
     manifest.write_by_day(v.snapshots(), root)
     rows = v.spark.read.parquet(root)
     return rows.groupBy("start_date").agg(F.count("*").alias("n"), F.min("start_time").alias("first_at"))
@@ -838,7 +855,7 @@ def packed_index(v: Views) -> DataFrame:
 
 def _event_stream(v: Views) -> DataFrame:
     events = v.table("events").select("user_id", "event_type", "value", "ts")
-    folder = _scratch(v, "stream-source")
+    folder = scratch(v, "stream-source")
     events.write.parquet(folder)
     stream = v.spark.readStream.schema(events.schema).parquet(folder)
     return stream.select(
@@ -853,8 +870,8 @@ def _event_stream(v: Views) -> DataFrame:
 def stream_snapshots(v: Views) -> DataFrame:
     """The event table as a stream that offers each snapshot twice."""
     stream = _event_stream(v)
-    tables = t.Tables(v.spark, _scratch(v, "stream-tables"))
-    run = snapshot_streams.run_snapshot_stream(stream.unionByName(stream), tables, _scratch(v, "checkpoint"))
+    tables = t.Tables(v.spark, scratch(v, "stream-tables"))
+    run = snapshot_streams.run_snapshot_stream(stream.unionByName(stream), tables, scratch(v, "checkpoint"))
     run.awaitTermination()
     rows = tables.read(t.SNAPSHOTS)
     return rows.select(
@@ -864,14 +881,18 @@ def stream_snapshots(v: Views) -> DataFrame:
 
 @query
 def stream_daily_skill(v: Views) -> DataFrame:
+    """Daily means of the event stream, of all days, those still open included."""
+    tables = t.Tables(v.spark, scratch(v, "stream-tables"))
+    snapshot_streams.run_daily_skill(_event_stream(v), tables, scratch(v, "checkpoint")).awaitTermination()
+    return snapshot_streams.daily_skill(tables).withColumn("avg_skill", r4("avg_skill"))
+
+
+@query
+def stream_closed_days(v: Views) -> DataFrame:
     """Daily means of the event stream, for the days that the watermark has closed."""
     means = snapshot_streams.daily_skill_stream(_event_stream(v))
-    out = _scratch(v, "stream-daily")
+    out = scratch(v, "stream-daily")
     writer = means.writeStream.outputMode("append").format("parquet").option("path", out)
-    writer.option("checkpointLocation", _scratch(v, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    writer.option("checkpointLocation", scratch(v, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     rows = v.spark.read.schema(means.schema).parquet(out)
     return rows.select("user_id", "category", "day", r4("avg_skill").alias("avg_skill"))
-
-
-def _scratch(v: Views, name: str) -> str:
-    return f"{staging_root(v.spark)}/{name}-{uuid.uuid4().hex}"

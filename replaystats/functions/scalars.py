@@ -30,24 +30,38 @@ def json_text(col: Column | str, path: str) -> Column:
     return F.get_json_object(col, f"$.{path}")
 
 
-def nullif_cast(col: Column | str, to: str) -> Column:
-    """Blank text is NULL, everything else must be a valid ``to`` (ANSI mode raises)."""
-    return F.nullif(_col(col), F.lit("")).cast(to)
+def nullif_cast(col: Column | str, to: str, strict: bool = True) -> Column:
+    """Blank text is NULL, everything else must be a valid ``to``: otherwise ANSI mode raises, or,
+    not ``strict``, the value is NULL (see :func:`rejected`)."""
+    text = F.nullif(_col(col), F.lit(""))
+    return text.cast(to) if strict else text.try_cast(to)
 
 
-def clean_skill(col: Column | str) -> Column:
+def clean_skill(col: Column | str, strict: bool = True) -> Column:
     """``"[16.67]"`` and its variants to a float; blank to NULL."""
-    return nullif_cast(F.translate(_col(col), SKILL_NOISE + BLANKS, ""), "float")
+    return nullif_cast(skill_text(col), "float", strict)
 
 
-def pg_bool(col: Column | str) -> Column:
-    """Text to boolean with the source database's vocabulary; other text raises in ANSI mode."""
+def skill_text(col: Column | str) -> Column:
+    return F.translate(_col(col), SKILL_NOISE + BLANKS, "")
+
+
+def pg_bool(col: Column | str, strict: bool = True) -> Column:
+    """Text to boolean with the source database's vocabulary; other text raises in ANSI mode, or is NULL."""
     word = F.lower(F.btrim(_col(col), F.lit(BLANKS)))
-    return (
-        F.when(word.isin(TRUE_WORDS), F.lit(True))
-        .when(word.isin(FALSE_WORDS), F.lit(False))
-        .otherwise(word.cast("boolean"))
-    )
+    known = F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
+    return known.otherwise(word.cast("boolean") if strict else F.lit(None).cast("boolean"))
+
+
+def rejected(field: str, text: Column | str, value: Column, blank_is_null: bool = True) -> Column:
+    """(field, value) of a text that is there and gave no value; NULL for all others."""
+    given = _col(text).isNotNull() & (_col(text) != "") if blank_is_null else _col(text).isNotNull()
+    return F.when(given & value.isNull(), F.struct(F.lit(field).alias("field"), _col(text).alias("value")))
+
+
+def rejects(entries: Sequence[Column]) -> Column:
+    """The rejected fields of a row as an array."""
+    return F.filter(F.array(*entries), lambda e: e.isNotNull())
 
 
 def array_length(col: Column | str) -> Column:

@@ -15,16 +15,20 @@ def not_in(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``large``. Rows with a NULL key part match nothing and stay.
 
     An anti join can broadcast only its right side, and would shuffle a large table for every small
-    batch. So where ``df`` is small enough to broadcast, the large side is first cut down by a semi
-    join to the keys that occur, and stays where it is. Beyond that a plain anti join shuffles each
+    batch. So where the keys of ``df`` are few enough to broadcast, the large side is first cut down by
+    a semi join to those that occur, and stays where it is. Beyond that a plain anti join shuffles each
     side once. The rows with a NULL key part skip the joins, so they cannot pile up in one task.
     """
     keys = list(keys)
     has_key = all_present(keys)
-    keyed, known = df.filter(has_key), large.select(*keys)
-    if fits_broadcast(keyed.select(*keys)):
-        known = known.join(F.broadcast(keyed.select(*keys).distinct()), keys, "left_semi").distinct()
-    return keyed.join(known, keys, "left_anti").select(*df.columns).unionByName(df.filter(~has_key))
+    known = cut_down(large, df, keys)
+    return df.filter(has_key).join(known, keys, "left_anti").select(*df.columns).unionByName(df.filter(~has_key))
+
+
+def cut_down(large: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``large``, without those that ``ids`` has not, where that takes no shuffle."""
+    known, wanted = large.select(*keys), ids.select(*keys)
+    return known.join(F.broadcast(wanted), list(keys), "left_semi") if fits_broadcast(wanted) else known
 
 
 def only_in(df: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replaystats.functions.scalars import older_than
-from replaystats.operators.joins import all_present, not_in, only_in
+from replaystats.operators.joins import all_present, cut_down, only_in
 from replaystats.operators.keyed import first_per_key, oldest_batch
 from replaystats.session import fits_broadcast
 
-_STORED = "_stored"
+_STORED, _OWN = "_stored", "_own"
 
 # Fixed value: age of a move from the cache to the archive.
 MOVE_AFTER_HOURS = 24
@@ -40,7 +40,8 @@ def insert_ignore(
     order = order or [F.col(c).asc_nulls_last() for c in batch.columns if c not in keys] or [F.lit(0)]
     keyed = batch.filter(has_key)
     if fits_broadcast(keyed):
-        new = not_in(first_per_key(keyed, keys, order), target, keys)
+        known = cut_down(target, keyed, keys)
+        new = first_per_key(keyed, keys, order).join(known, keys, "left_anti").select(*batch.columns)
     else:
         stored = target.select(*keys).filter(has_key).withColumn(_STORED, F.lit(True))
         both = keyed.withColumn(_STORED, F.lit(False)).unionByName(stored, allowMissingColumns=True)
@@ -57,19 +58,19 @@ def insert_match_players(target: DataFrame, batch: DataFrame, order: Sequence[Co
     """
     known = batch.filter(F.col("user_id").isNotNull())
     unknown = batch.filter(F.col("user_id").isNull())
-    stored_known = target.filter(F.col("user_id").isNotNull())
     stored_unknown = target.filter(F.col("user_id").isNull())
+    in_match = F.col("replay_id").isNotNull()
+    # Repeats in the batch first, a row a key from each task, so that no key is hot in the join. Rows
+    # without a player id repeat nothing: a number makes each its own key. (A union would be joined,
+    # and so shuffled, branch by branch.)
+    own = F.when(F.col("player_id").isNull(), F.monotonically_increasing_id())
+    unique = first_per_key(known.filter(in_match).withColumn(_OWN, own), ["replay_id", "user_id", "player_id", _OWN], order)
     # A row whose (user, match) is stored is dropped here, so a full (match, user, player)
-    # conflict with the target cannot be left over: only repeats in the batch remain.
-    unique = _first_of_whole_keys(known, ["replay_id", "user_id", "player_id"], order)
-    return not_in(unique, stored_known, ["user_id", "replay_id"]).unionByName(
-        insert_ignore(stored_unknown, unknown, ["replay_id", "player_id"], order)
-    )
-
-
-def _first_of_whole_keys(batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    has_key = all_present(keys)
-    return first_per_key(batch.filter(has_key), keys, order).unionByName(batch.filter(~has_key))
+    # conflict with the target cannot be left over.
+    stored = cut_down(target.filter(F.col("user_id").isNotNull()), known, ["user_id", "replay_id"])
+    fresh = unique.join(stored, ["user_id", "replay_id"], "left_anti").select(*batch.columns)
+    fresh = fresh.unionByName(known.filter(~in_match))
+    return fresh.unionByName(insert_ignore(stored_unknown, unknown, ["replay_id", "player_id"], order))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:

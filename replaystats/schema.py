@@ -124,3 +124,30 @@ FILE_OUTCOME = T.StructType(
         T.StructField("at", T.TimestampType()),
     ]
 )
+
+# A field of a document that was no value of its column.
+REJECT = T.StructType(
+    [
+        T.StructField("replay_id", T.StringType()),
+        T.StructField("target", T.StringType()),
+        T.StructField("field", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+    ]
+)
+
+# A document whose players are stored, by a hash of its text.
+FLATTENED = T.StructType([T.StructField("replay_id", T.StringType()), T.StructField("doc_hash", T.StringType())])
+
+# Skills of a user on a day, as far as some batches of a stream go.
+DAILY_PART = T.StructType(
+    [
+        T.StructField("user_id", T.IntegerType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("games", T.LongType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)

@@ -12,6 +12,7 @@ from checks.views import WINDOW, Views
 from replaystats.operators import aggregates as agg
 from replaystats.operators import joins, keyed
 from replaystats.plans import pages
+from replaystats.sources import meta
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -91,3 +92,30 @@ def test_raw_matches_of_a_user_are_not_gathered(spark):
         if "Exchange hashpartitioning(user_id" in line:
             below = "\n".join(lines[number + 1 : number + 5])
             assert any(node in below for node in reducing), below
+
+
+@pytest.mark.parametrize(("small", "most"), [(False, 4), (True, 6)])
+def test_insert_moves_each_side_once(spark, small, most):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if small else "-1")
+    try:
+        plan = plan_of(QUERIES["insert_match_players"](spark, SF_DIR))
+        assert plan.count("Exchange hashpartitioning") <= most
+        assert ("BroadcastHashJoin" in plan) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_deep_page_reads_its_own_ranges(spark):
+    lines = Views(spark, SF_DIR).table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    order = [F.desc("l_orderkey"), *map(F.col, lines.columns[1:])]
+    pages = meta.ListingPages(lines.distinct(), 100, order, ranges=16)
+    want = [tuple(r) for r in lines.distinct().orderBy(*order).collect()]
+    assert pages.total == len(want)
+    last = -(-len(want) // 100)
+    for number in (1, 2, 7, last - 1, last):
+        assert [tuple(r) for r in pages.page(number).collect()] == want[(number - 1) * 100 : number * 100]
+    assert pages.page(last + 1).count() == 0
+    plan = plan_of(pages.page(last - 1))
+    assert "PushedFilters: [" in plan and "Exchange SinglePartition" not in plan
+    touched = [n for n, (a, b) in pages.starts.items() if a < (last - 1) * 100 and b > (last - 2) * 100]
+    assert len(touched) <= 2  # of 16

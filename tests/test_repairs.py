@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,7 +13,7 @@ from replaystats.plans import jobs
 from replaystats.session import stage, staging
 from replaystats.sources import tables as t
 from replaystats.sources.tables import Tables
-from replaystats.streaming.snapshots import run_snapshot_stream
+from replaystats.streaming.snapshots import add_daily_parts, daily_skill, run_daily_skill, run_snapshot_stream
 from tests.conftest import document, rows, write_documents
 
 LATER = datetime(2100, 1, 1)
@@ -89,3 +90,66 @@ def test_rounding_of_what_is_no_number(spark):
     df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (16.05,), (None,)], "x double")
     assert [None if r[0] is None else float(r[0]) for r in df.select(pg_round("x", 1)).collect()] == [None, None, None, 16.1, None]
     assert df.filter(F.isnan("x")).count() == 1
+
+
+def test_bad_values_go_to_the_reject_table(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "tables"))
+    good, bad = docs([20])[0], docs([21])[0]
+    good["AllyTeams"][0]["Players"].append(good["AllyTeams"][0]["Players"][0] | {"userId": "x9", "playerId": "9", "skill": "[?]"})
+    bad["durationMs"], bad["AllyTeams"][1]["winningTeam"] = "long", "perhaps"
+    write_documents(tmp_path / "inbox", [good, bad])
+    jobs.ingest_meta(spark, str(tmp_path / "inbox"), tables, LATER)
+    for hour in (12, 13):
+        jobs.replay_meta_ingress(tables, datetime(2025, 5, 22, hour))
+        found = rows(tables.read(t.REJECTS), "replay_id", "target", "field", "value")
+        assert found == [
+            ("m20", t.MATCH_PLAYERS, "skill", "[?]"),
+            ("m20", t.MATCH_PLAYERS, "userId", "x9"),
+            ("m21", t.MATCH_PLAYERS, "winningTeam", "perhaps"),
+            ("m21", t.MATCHES, "durationMs", "long"),
+        ]
+        # All other rows are there.
+        assert rows(tables.read(t.MATCH_PLAYERS), "replay_id", "user_id") == [("m20", 1), ("m20", 2), ("m21", 1)]
+        assert rows(tables.read(t.MATCHES), "replay_id") == [("m20",)]
+
+
+def test_unchanged_documents_are_not_parsed_again(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path / "tables"))
+    bots = document("bots", "2025-05-21T10:00:00.000Z", [(None, "b", 0, None, "", "x")])
+    write_documents(tmp_path / "inbox", [*docs([20, 21]), bots])
+    jobs.ingest_meta(spark, str(tmp_path / "inbox"), tables, LATER)
+    parsed = []
+    explode = jobs.explode_valid_players
+
+    def counted(replays):
+        parsed.append(sorted(r.replay_id for r in replays.select("replay_id").collect()))
+        return explode(replays)
+
+    monkeypatch.setattr(jobs, "explode_valid_players", counted)
+    as_of = datetime(2025, 5, 22, 12)
+    assert jobs.update_match_players(tables, as_of) == 5
+    assert jobs.update_match_players(tables, as_of) == 1  # the row whose key is NULL, as ever
+    late = docs([21])[0]
+    late["AllyTeams"][0]["Players"].append(late["AllyTeams"][0]["Players"][0] | {"userId": "7", "playerId": "7"})
+    changed = spark.createDataFrame([("m21", json.dumps(late))], "replay_id string, raw_json string")
+    tables.append(t.RAW_ARCHIVE, changed.withColumn("start_time", F.lit("2025-05-21 10:00:00").cast("timestamp")))
+    assert jobs.update_match_players(tables, as_of) == 2
+    assert parsed == [["bots", "m20", "m21"], ["bots"], ["bots", "m21"]]
+
+
+def test_daily_means_of_open_days(spark, tmp_path):
+    schema = "user_id int, category string, skill float, start_time timestamp"
+    tables, start = Tables(spark, str(tmp_path / "tables")), datetime(2024, 1, 1)
+    source, data = tmp_path / "in", []
+    for n in range(5):  # a batch each, days in mixed order
+        batch = [(u, "c", None if (u, n) == (2, 1) else float(u + n), start + timedelta(days=d)) for u in (1, 2) for d in (n % 2, 3)]
+        data += batch
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(str(source / f"b={n}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source / "*"))
+    run_daily_skill(stream, tables, str(tmp_path / "checkpoint"), max_folders=2).awaitTermination()
+    want = spark.createDataFrame(data, schema).groupBy("user_id", "category", F.to_date("start_time").alias("day")).agg(F.avg("skill").alias("avg_skill"))
+    assert rows(daily_skill(tables)) == rows(want)
+    assert len(tables.folders(t.DAILY_PARTS)) <= 3
+    again = spark.createDataFrame(data[-4:], schema)  # the last batch comes once more
+    add_daily_parts(tables, str(tmp_path / "checkpoint"))(again, 4)
+    assert rows(daily_skill(tables)) == rows(want)
