@@ -5,22 +5,24 @@ Documents with equal shingle sets fold into one class first. Then
 * small sets enumerate, for each size a partner may have, all subsets of the size that the two must
   share; sets that meet in a subset link, nothing is left to verify;
 * large sets go through inverted lists. A set enters the lists of its rarest shingles only, as many
-  as two linked sets cannot both miss. A light list gives its pairs, filtered by size and place; the
-  shared shingles of a pair are then counted. A heavy list gives no pairs: its members are chained
+  as two linked sets cannot both miss. Rarest by the exact number of sets that hold a shingle: most
+  shingles stand in one set, have no list, and cost nothing further. The members of a list are chained
   to one of them, chained sets form families, and a family's sets are compared block by block inside
-  tasks that return a spanning forest of the links, never the pairs. Pairs of light lists that lie in
-  one family are left to it.
+  tasks that return a spanning forest of the links, never the pairs.
 
-The boundary between small and large is the size at which enumerating costs as many rows as the
-lists and the verification behind them, computed from the histogram of sizes.
+The boundary between small and large is the size at which enumerating costs as many rows as the lists
+and the verification behind them, computed from the histogram of sizes.
 
-"Rarest" follows a fixed-size table of counts over all documents' shingles. The lists are right for
-any order, so a shared counter costs time and loses nothing. Lists of shingles that the table puts
-above ``hot`` bypass the shuffle by key: their members are chained to the shingle itself.
+Counting moves every shingle once, packed. A task gathers sets into chunks, sorts a chunk's shingles and
+sends each range of hashes to its bucket, as bytes: eight of a hash, ordered so that they compress, and
+two for the set's number in the chunk. A bucket counts and answers to each chunk which of its shingles
+stand in other sets as well. Buckets and chunks have a fixed size; their number follows the corpus. The
+shingles that a sample finds in more than one of ``hot_share`` sets are not sent: they come last in the
+order, by hash. The sample decides cost only, since the lists are right for any order that all sets share.
 
 Defined results: null and empty texts have an empty set and link with nothing; repeated rows and
 rows of equal text link; repeated ids are taken row by row; a null id never names a component unless
-no member has an id (then the component is null).
+no member has an id (then the component is null); ids that are no numbers raise an error of the cast.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +45,9 @@ from replaystats.session import stage
 
 MAX_SMALL = 20  # largest set that may enumerate its subsets
 VERIFY_ROWS = 40  # an entry of an inverted list costs about as much as so many enumerated subsets
-SLOTS = 1 << 17  # of the table of counts
+CHUNK_SETS, CHUNK_SHINGLES = 1 << 13, 1 << 20
+BUCKET_SHINGLES = 1 << 21
+SAMPLE_SETS = 1 << 13
 BLOCK_DOCS, BLOCK_BYTES = 1024, 16 << 20  # a task holds two blocks: some 300 MB with its work space
 _FLUSH = 50_000
 
@@ -100,30 +105,28 @@ def _sets(batch: pa.RecordBatch, hashes: WordHash, rule: Rule, column: int) -> I
 
 
 def set_table(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(row, id, n, digest, numbers) per document, with the shingles of small sets as ``numbers``; and per
-    task one row of n = -1 whose numbers say how many shingles fell into each counter. docs: (row, id, raw)."""
+    """(id, text_key, n, digest, small) per document, with the shingles of small sets. docs: (id, text_key, raw)."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHash(), np.zeros(SLOTS, np.int64)
+        hashes = WordHash()
         for batch in source:
-            sizes, digests, small, held = [], [], [], [np.empty(0, np.int64)]
+            sizes, digests, small = [], [], []
             for found in _sets(batch, hashes, rule, 2):
                 sizes.append(len(found))
                 digests.append(_digest(found) if len(found) else None)
                 small.append(found.view(np.int64) if 0 < len(found) <= MAX_SMALL else None)
-                held.append(_slots(found))
-            counts += np.bincount(np.concatenate(held), minlength=SLOTS)
-            yield out(batch.column(0), batch.column(1), sizes, digests, small)
-        none = pa.array([None], pa.int64())
-        yield out(none, none, [-1], [None], [counts])
-
-    def out(row, ident, sizes, digests, numbers) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [row, ident, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(numbers, pa.list_(pa.int64()))],
-            names=["row", "id", "n", "digest", "numbers"],
-        )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(small, pa.list_(pa.int64())),
+                ],
+                names=["id", "text_key", "n", "digest", "small"],
+            )
 
-    return docs.mapInArrow(run, "row long, id long, n long, digest binary, numbers array<long>")
+    return docs.mapInArrow(run, "id long, text_key long, n long, digest binary, small array<long>")
 
 
 def small_links(classes: DataFrame, rule: Rule, limit: int) -> DataFrame:
@@ -160,137 +163,180 @@ def _columns(rows: list[tuple], schema: pa.Schema) -> list[pa.Array]:
     return [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
 
 
-def _slots(found: np.ndarray) -> np.ndarray:
-    return (found % np.uint64(SLOTS)).astype(np.int64)
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted numbers by planes of their bytes: the upper planes of neighbours are equal and compress."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def count_table(table: DataFrame) -> np.ndarray:
-    """How many documents' shingles fall into each of SLOTS counters: a fixed size at any scale."""
-    total = np.zeros(SLOTS, np.int64)
-    counted = table.filter("n = -1").select(F.posexplode("numbers").alias("slot", "c")).filter("c > 0")
-    for row in counted.groupBy("slot").agg(F.sum("c").alias("c")).toLocalIterator():
-        total[row["slot"]] = row["c"]
-    return total
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def entries(docs: DataFrame, rule: Rule, limit: int, counts: np.ndarray, hot: int) -> DataFrame:
-    """(key, salt, n, place, digest): a set in the list of each of its first shingles. Salt 0: an
-    ordinary list; others deal the members of a hot one."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)
+def hot_shingles(docs: DataFrame, rule: Rule, sets: int, hot_share: int) -> np.ndarray:
+    """Sorted shingles that stand in more than one of ``hot_share`` sets of a sample of about SAMPLE_SETS
+    documents: at most ``hot_share`` times the shingles of an average sampled document."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, table, done = WordHash(), sent.value, set()
+        hashes = WordHash()
         for batch in source:
-            keys, salts, sizes, places, digests = [], [], [], [], []
             for found in _sets(batch, hashes, rule, 0):
-                n = len(found)
-                if not n or rule.most(n) <= limit:
-                    continue
-                digest = _digest(found)
-                if digest in done:  # a copy in the same task
-                    continue
-                done.add(digest)
-                take = rule.prefix(n)
-                seen = table[_slots(found)]
-                order = np.lexsort((found, seen))[:take]
-                keys.append(found[order].view(np.int64))
-                salts.append(np.where(seen[order] > hot, 1 + digest[0] % 61, 0))
-                sizes.append(np.full(take, n))
-                places.append(np.arange(take))
-                digests += [digest] * take
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(keys)),
-                        pa.array(np.concatenate(salts).astype(np.int8)),
-                        pa.array(np.concatenate(sizes).astype(np.int32)),
-                        pa.array(np.concatenate(places).astype(np.int32)),
-                        pa.array(digests, pa.binary()),
-                    ],
-                    names=["key", "salt", "n", "place", "digest"],
-                )
-
-    return docs.select("raw").mapInArrow(run, "key long, salt byte, n int, place int, digest binary")
-
-
-def list_pairs(listed: DataFrame, rule: Rule, limit: int, light: int) -> DataFrame:
-    """(a, b, chained) from the inverted lists: candidate pairs of the light ones, chains of the heavy ones."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("chained", pa.bool_())])
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        key, held, leader = None, [], None
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
 
-        def close() -> None:
-            if leader is None:
-                rows.extend(_light(held, rule, limit))
+    part = max(1, sets // SAMPLE_SETS)
+    sample = docs.filter(F.pmod("text_key", F.lit(part)) == 0).select("raw").dropDuplicates(["raw"])
+    counts = sample.mapInArrow(run, "shingle long").groupBy("shingle").count()
+    least = max(32, min(sets, SAMPLE_SETS) // hot_share)
+    found = [r["shingle"] for r in counts.filter(F.col("count") > least).select("shingle").toLocalIterator()]
+    return np.sort(np.array(found, np.int64).view(np.uint64))
 
-        for batch in source:
-            for k, salt, n, place, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if salt:
-                    rows.append((digest, b"list" + k.to_bytes(8, "little", signed=True), True))
-                    continue
-                if k != key:
-                    close()
-                    key, held, leader = k, [], None
-                if held and held[-1][2] == digest:  # a copy from another task
-                    continue
-                if leader is not None:
-                    rows.append((digest, leader, True))
-                    held = [(n, place, digest)]
-                    continue
-                held.append((n, place, digest))
-                if len(held) > light:
-                    leader = held[0][2]
-                    rows.extend((d, leader, True) for _, _, d in held[1:])
-                    held = held[-1:]
-            if len(rows) >= _FLUSH:
-                yield pa.RecordBatch.from_arrays(_columns(rows, schema), schema=schema)
-                rows = []
-        close()
-        if rows:
-            yield pa.RecordBatch.from_arrays(_columns(rows, schema), schema=schema)
 
-    dealt = listed.repartition("key", "salt").sortWithinPartitions("key", "salt", "n", "digest")
-    return dealt.mapInArrow(run, "a binary, b binary, chained boolean").distinct()
+# A bucket's part of a chunk, or, with a negative bucket, the head of a chunk.
+_CHUNKS = "bucket int, chunk long, hashes binary, docs binary, sizes binary, digests binary"
+# What a bucket answers to a chunk, or the head of the chunk.
+_ANSWERS = "chunk long, hashes binary, docs binary, counts binary, sizes binary, digests binary"
 
 
-def _light(held: list[tuple[int, int, bytes]], rule: Rule, limit: int) -> Iterator[tuple]:
-    """Pairs of a light list that may link: sizes fit, not both small, enough shingles left behind the shared one."""
-    for i, (n, place, a) in enumerate(held):
-        for m, other, b in held[i + 1 :]:  # sizes rise
-            if m > rule.most(n):
-                break
-            if m > limit and min(n - place, m - other) + min(place, other) >= rule.need(n, m):
-                yield (a, b, False) if a > b else (b, a, False)
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [[] for _ in fields]
+    return pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns, strict=True)})
 
 
-def contents(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(digest, shingles) of the wanted sets, made again from the texts. wanted: (row, digest)."""
+def chunks(docs: DataFrame, rule: Rule, limit: int, hot: np.ndarray, bits: int) -> DataFrame:
+    """The shingles of large sets by bucket, the upper ``bits`` of their hash, and chunk. docs: (raw)."""
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
+        hashes, last, done = WordHash(), sent.value, set()
+        first, number = TaskContext.get().partitionId() << 32, 0
+        held: list[np.ndarray] = []
+        digests: list[bytes] = []
+        weight = 0
+
+        def close() -> list[tuple]:
+            chunk = first + number
+            docs = np.repeat(np.arange(len(held), dtype=np.uint16), [len(x) for x in held])
+            every = np.concatenate(held)
+            common = np.isin(every, last) if len(last) else np.zeros(len(every), bool)
+            sizes = np.array([len(x) for x in held], np.int64).tobytes()
+            rows = [(-1 - chunk % 64, chunk, every[common].tobytes(), docs[common].tobytes(), sizes, b"".join(digests))]
+            every, docs = every[~common], docs[~common]
+            order = np.argsort(every, kind="stable")
+            every, docs = every[order], docs[order]
+            buckets = (every >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(every), np.int64)
+            cuts = np.searchsorted(buckets, np.arange((1 << bits) + 1))
+            for k in np.flatnonzero(np.diff(cuts)):
+                a, b = cuts[k], cuts[k + 1]
+                rows.append((int(k), chunk, _packed(every[a:b]), docs[a:b].tobytes(), None, None))
+            return rows
+
         for batch in source:
-            digests, found = [], []
-            for digest, own in zip(batch.column(0).to_pylist(), _sets(batch, hashes, rule, 1), strict=True):
-                if len(own) and _digest(own) == digest:  # an id may stand on rows of different text
-                    digests.append(digest)
-                    found.append(own.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["digest", "found"]
-            )
+            for found in _sets(batch, hashes, rule, 0):
+                if not len(found) or rule.most(len(found)) <= limit:
+                    continue
+                digest = _digest(found)
+                if digest in done:  # a copy in the same task
+                    continue
+                done.add(digest)
+                held.append(found)
+                digests.append(digest)
+                weight += len(found)
+                if len(held) == CHUNK_SETS or weight >= CHUNK_SHINGLES:
+                    yield from _table(_CHUNKS, close()).to_batches()
+                    held, digests, weight, number = [], [], 0, number + 1
+        if held:
+            yield from _table(_CHUNKS, close()).to_batches()
+
+    return docs.select("raw").mapInArrow(run, _CHUNKS)
+
+
+def count_bucket(table: pa.Table) -> pa.Table:
+    """For each chunk its shingles that stand in several sets, with the number of sets."""
+    rows = table.to_pylist()
+    if rows[0]["bucket"] < 0:
+        return _table(_ANSWERS, [(r["chunk"], r["hashes"], r["docs"], None, r["sizes"], r["digests"]) for r in rows])
+    parts = [_unpacked(r["hashes"]) for r in rows]
+    every = np.concatenate(parts)
+    _, place, seen = np.unique(every, return_inverse=True, return_counts=True)
+    counts = seen[place]
+    out, start = [], 0
+    for r, part in zip(rows, parts, strict=True):
+        own = counts[start : start + len(part)]
+        start += len(part)
+        keep = own > 1
+        if keep.any():
+            docs = np.frombuffer(r["docs"], np.uint16)[keep]
+            out.append((r["chunk"], _packed(part[keep]), docs.tobytes(), own[keep].astype(np.uint32).tobytes(), None, None))
+    return _table(_ANSWERS, out)
+
+
+CANDIDATES = "digest binary, n long, keys array<long>, found array<long>"
+
+
+def close_chunk(table: pa.Table, rule: Rule) -> pa.Table:
+    """(digest, n, keys, found) of the sets that enter a list: the lists, and all shingles that the set
+    may have in common with others."""
+    rows = table.to_pylist()
+    head = next(r for r in rows if r["digests"] is not None)
+    answers = [r for r in rows if r["digests"] is None]
+    digests = [head["digests"][i : i + 12] for i in range(0, len(head["digests"]), 12)]
+    sizes = np.frombuffer(head["sizes"], np.int64)
+    docs = np.concatenate([np.frombuffer(r["docs"], np.uint16) for r in answers] + [np.empty(0, np.uint16)])
+    hashes = np.concatenate([_unpacked(r["hashes"]) for r in answers] + [np.empty(0, np.uint64)])
+    counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in answers] + [np.empty(0, np.uint32)]).astype(np.int64)
+    # The hot ones come after all others.
+    docs = np.concatenate([docs, np.frombuffer(head["docs"], np.uint16)]).astype(np.int64)
+    last = np.frombuffer(head["hashes"], np.uint64)
+    hashes = np.concatenate([hashes, last])
+    counts = np.concatenate([counts, np.full(len(last), np.iinfo(np.int64).max)])
+    order = np.lexsort((hashes, counts, docs))
+    hashes = hashes[order].view(np.int64)
+    bounds = np.searchsorted(docs[order], np.arange(len(sizes) + 1))
+    out: dict[str, list] = {"digest": [], "n": [], "keys": [], "found": []}
+    for i in np.flatnonzero(np.diff(bounds)):
+        n = int(sizes[i])
+        found = hashes[bounds[i] : bounds[i + 1]]
+        take = rule.prefix(n) - (n - len(found))  # shingles of this set alone come first and need no list
+        if take > 0:
+            for name, value in zip(out, (digests[i], n, found[:take], found), strict=True):
+                out[name].append(value)
+    numbers = pa.list_(pa.int64())
+    return pa.table(
+        {
+            "digest": pa.array(out["digest"], pa.binary()),
+            "n": pa.array(out["n"], pa.int64()),
+            "keys": pa.array(out["keys"], numbers),
+            "found": pa.array(out["found"], numbers),
+        }
+    )
+
+
+def list_entries(docs: DataFrame, rule: Rule, limit: int, sets: int, shingles_in_all: int, hot_share: int) -> DataFrame:
+    """(digest, n, keys, found) of all sets that enter a list, staged; copies from several tasks stay once."""
+    hot = hot_shingles(docs, rule, sets, hot_share)
+    bits = max(0, (shingles_in_all // BUCKET_SHINGLES).bit_length())
+    answers = chunks(docs, rule, limit, hot, bits).groupBy("bucket").applyInArrow(count_bucket, _ANSWERS)
+    found = answers.groupBy("chunk").applyInArrow(lambda t: close_chunk(t, rule), CANDIDATES)
+    return stage(found.dropDuplicates(["digest"]), "entries")
+
 
-    rows = docs.select("row", "raw").join(wanted, "row").select("digest", "raw")
-    return rows.mapInArrow(run, "digest binary, found array<long>")
+def list_chains(entered: DataFrame) -> DataFrame:
+    """Edges (a, b) from each member of a list to its first one."""
+    members = entered.select("digest", F.explode("keys").alias("key"))
+    lists = members.groupBy("key").agg(F.min("digest").alias("low"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    chained = members.join(lists, "key").filter("digest <> low")
+    return chained.select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def block_links(table: pa.Table, rule: Rule) -> pa.Table:
     """A spanning forest of the links among the sets of one or two blocks of a family."""
     digests = table.column("digest").to_pylist()
     lists = table.column("found").combine_chunks()
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = table.column("n").to_numpy().astype(np.int64)
     flat = lists.flatten().to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(len(digests)), sizes)
+    owner = np.repeat(np.arange(len(digests)), lengths)
     _, column, seen = np.unique(flat, return_inverse=True, return_counts=True)
     shared = np.cumsum(seen > 1) - 1
     keep = seen[column] > 1
@@ -321,38 +367,24 @@ def block_links(table: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"a": pa.array([e[0] for e in edges], pa.binary()), "b": pa.array([e[1] for e in edges], pa.binary())})
 
 
-def plan_families(chains: DataFrame, sized: DataFrame) -> DataFrame:
-    """(digest, component, blocks): the families that the heavy lists make, and in how many blocks each is
-    compared. sized: (digest, n) of all sets."""
-    families = components(chains).withColumnRenamed("node", "digest").join(sized, "digest")
+def plan_families(chains: DataFrame, entered: DataFrame) -> DataFrame:
+    """(digest, component, blocks): the families that the lists make, and in how many blocks each is compared."""
+    families = components(chains).withColumnRenamed("node", "digest").join(entered.select("digest", F.size("found").alias("held")), "digest")
     sizes = families.groupBy("component").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("held") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
     )
     return stage(families.join(sizes, "component").select("digest", "component", "blocks"), "families")
 
 
-def between_families(pairs: DataFrame, planned: DataFrame) -> DataFrame:
-    """The pairs not inside one family: those are compared there. A family of copies meets in light lists too,
-    in so many different pairs that they must not be given their shingles."""
-    own = planned.select("digest", "component")
-    placed = pairs.join(own.toDF("a", "family_a"), "a", "left").join(own.toDF("b", "family_b"), "b", "left")
-    return placed.filter("family_a is null or family_b is null or family_a <> family_b").select("a", "b")
-
-
-def family_links(planned: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+def family_links(planned: DataFrame, entered: DataFrame, rule: Rule) -> DataFrame:
     """Links inside the families, block by block. The shingles move only to their blocks."""
     own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     dealt = (
-        held.join(planned, "digest")
+        entered.select("digest", "n", "found")
+        .join(planned, "digest")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "component",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            "digest",
-            "found",
-        )
+        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "digest", "n", "found")
     )
     return dealt.groupBy("component", "i", "j").applyInArrow(lambda t: block_links(t, rule), "a binary, b binary")
 
@@ -364,47 +396,34 @@ def link(
     words: int = 4,
     part: int = 85,
     whole: int = 100,
-    light: int = 16,
-    hot: int = 2_000_000,
+    hot_share: int = 256,
 ) -> DataFrame:
-    """(id, n_shingles, component_id) per input row. Texts link when ``whole * intersection >= part * union``
-    of their ``words``-word shingles; a component is named by the smallest id in it."""
+    """(id, n_shingles, component_id, text_key, component) per input row. Texts link when
+    ``whole * intersection >= part * union`` of their ``words``-word shingles. A component is named by the
+    smallest id in it; since an id may stand on several texts, ``text_key``, the xxhash64 of the text, tells
+    rows apart, and ``component``, null without words, tells components apart."""
     small_batches(docs.sparkSession)
     rule = Rule(words, part, whole)
     raw = pick(docs, id_col, text_col).toDF("id", "raw")
-    raw = raw.select(F.col("id").cast("long"), F.col("raw").cast("binary"))
-    raw = raw.select(F.coalesce("id", F.xxhash64("raw")).alias("row"), "id", "raw")
-    table = stage(set_table(raw, rule), "sets")
-    sets = table.filter("n >= 0")
-    classes = stage(
-        sets.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("numbers").alias("small")),
-        "classes",
-    )
+    raw = raw.select(F.col("id").cast("long"), F.xxhash64("raw").alias("text_key"), F.col("raw").cast("binary"))
+    sets = stage(set_table(raw, rule), "sets")
+    classes = sets.filter("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("small").alias("small"))
+    classes = stage(classes, "classes")
+    totals = classes.agg(F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
     histogram = classes.filter(F.col("n") <= MAX_SMALL).groupBy("n").count().collect()  # MAX_SMALL rows at most
     limit = boundary(rule, {r["n"]: r["count"] for r in histogram})
-    found = stage(list_pairs(entries(raw, rule, limit, count_table(table), hot), rule, limit, light), "pairs")
-    ends = found.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    held = stage(contents(raw, classes.select("row", "digest").join(ends, "digest"), rule), "contents")
-    held = held.dropDuplicates(["digest"])
-    planned = plan_families(found.filter("chained").select("a", "b"), classes.select("digest", "n"))
-    pairs = stage(between_families(found.filter("not chained").select("a", "b"), planned), "light-pairs")
-    one = held.toDF("a", "found_a")
-    two = held.toDF("b", "found_b")
-    both = F.size(F.array_intersect("found_a", "found_b"))
-    light_links = (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .filter(whole * both >= part * (F.size("found_a") + F.size("found_b") - both))
-        .select("a", "b")
-    )
-    edges = light_links.unionByName(small_links(classes, rule, limit))
-    edges = edges.unionByName(family_links(planned, held, rule))
+    entered = list_entries(raw, rule, limit, totals["sets"], totals["shingles"], hot_share)
+    planned = plan_families(list_chains(entered), entered)
+    edges = family_links(planned, entered, rule).unionByName(small_links(classes, rule, limit))
     joined = components(edges)
     rows = sets.join(joined.withColumnRenamed("node", "digest"), "digest", "left")
-    rows = stage(rows.select("id", "n", F.coalesce("component", "digest").alias("component")), "members")
+    rows = stage(rows.select("id", "text_key", "n", F.coalesce("component", "digest").alias("component")), "members")
     names = rows.groupBy("component").agg(F.min("id").alias("low"))
-    return rows.join(names.filter("component is not null"), "component", "left").select(
+    named = rows.join(names.filter("component is not null").withColumnRenamed("component", "own"), F.col("component") == F.col("own"), "left")
+    return named.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.coalesce("low", "id").alias("component_id"),
+        "text_key",
+        "component",
     )

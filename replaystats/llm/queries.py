@@ -57,7 +57,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    linked = jaccard_join.link(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    return linked.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,4 +224,24 @@ ranked AS (
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
-SQL = {"op6_line_dedup": LINES, "op10_quality": QUALITY, "op11_pii": PII, "op12_divergence": DIVERGENCE}
+# Sets linked by a self-join, and what each reaches. For small tables: it lists all links.
+JACCARD = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS.format(LOWERED.format("coalesce(text, '')"))} AS w FROM documents
+),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s FROM docs
+),
+held AS (SELECT rid, len(s) AS n, unnest(s) AS shingle FROM sets),
+shared AS (
+  SELECT a.rid AS a, b.rid AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS same
+  FROM held AS a JOIN held AS b ON a.shingle = b.shingle AND a.rid <> b.rid GROUP BY 1, 2
+),
+links AS (SELECT a, b FROM shared WHERE 100 * same >= 85 * (n + m - same)),
+reach AS (SELECT rid AS a, rid AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT a AS rid, min(doc_id) AS component_id FROM reach JOIN sets ON reach.b = sets.rid GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN low USING (rid)
+"""
+
+SQL = {"op4_jaccard_join": JACCARD, "op6_line_dedup": LINES, "op10_quality": QUALITY, "op11_pii": PII, "op12_divergence": DIVERGENCE}
