@@ -6,6 +6,7 @@ import io
 import random
 import uuid
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import types as T
@@ -49,16 +50,71 @@ def test_leaks(spark):
     table = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.find_leaks(documents(spark, rows), table).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == planted
-    # Brute force: every item against every text.
-    block = decontaminate.build_block([i for i in items if i[1]], 3)
+    # Brute force: every item against every text, by a plain table of cells.
     want = {}
     for ident, text in rows:
-        numbers = tuple(block.numbers((text or "").encode(), decontaminate.Numbers(block.words)).tolist())
-        for k, item in enumerate(block.items):
-            matched, start, end = decontaminate.align(item, numbers[:4000])
-            if matched >= 0.5 * len(item):
-                want[ident, block.ids[k]] = (matched, start, end)
-    assert {(r["doc_id"], r["item_id"]): (r["matched"], r["start"], r["end"]) for r in got} == want
+        mine = plain(text)
+        if len(mine) > 400:
+            continue
+        for item, passage in items:
+            if plain(passage):
+                want[ident, item] = best_score(plain(passage), mine)
+    for r in got:
+        share = r["matched"] / r["item_words"]
+        passage = plain(dict(items)[r["item_id"]])
+        text = plain(next(t for i, t in rows if i == r["doc_id"]))[r["start"] : r["end"]]
+        assert share >= 0.5 and r["item_words"] == len(passage)
+        assert best_score(passage, text) == want[r["doc_id"], r["item_id"]]  # the aligned part holds the best alignment
+    assert all(score < 30 for pair, score in want.items() if pair not in planted)
+
+
+SIGNS = ".,;:!?\"'()[]{}#*$%&|<>"
+
+
+def plain(text):
+    return [w for w in (x.strip(SIGNS) for x in (text or "").lower().split()) if w]
+
+
+def best_score(a, b):
+    """Smith-Waterman's best local score, cell by cell."""
+    above, best = [0] * (len(b) + 1), 0
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(max(0, above[j] + (2 if x == y else -1), above[j + 1] - 1, row[j] - 1))
+        best, above = max(best, *row), row
+    return best
+
+
+def test_a_passage_of_an_item(spark):
+    rng = random.Random(11)
+    item = words(rng, 59, 4000)
+    texts = {1: item[20:45], 2: item[:12], 3: item[10:16] + ["x"] + item[16:23], 4: item[30:43]}
+    rows = [(i, " ".join(words(rng, 40, 4000) + t + words(rng, 40, 4000))) for i, t in texts.items()]
+    table = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.find_leaks(documents(spark, rows), table, carry=("lang",)).collect()}
+    assert set(got) == {1, 4} and got[1]["run"] == 25 and got[4]["run"] == 13
+    assert got[1]["share"] == pytest.approx(25 / 59) and got[1]["lang"] == "en"
+    assert (got[1]["start"], got[1]["end"]) == (40, 65)
+
+
+def test_very_long_items_and_texts(spark):
+    rng = random.Random(12)
+    item = words(rng, 20_000, 50_000)
+    copy = [w if rng.random() > 0.02 else "edited" for w in item]
+    rows = [(1, " ".join(words(rng, 500, 50_000) + copy)), (2, " ".join(words(rng, 30_000, 50_000)))]
+    table = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = decontaminate.find_leaks(documents(spark, rows), table).collect()
+    assert [r["doc_id"] for r in got] == [1] and got[0]["share"] > 0.97
+
+
+def test_alignment_in_parts_is_the_same():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        a, b = rng.integers(1, 6, rng.integers(1, 40)), rng.integers(0, 6, rng.integers(1, 60))
+        whole = decontaminate.align(a, b)
+        assert decontaminate.align(a, b, cells=1) == whole
+        assert best_score(a.tolist(), b.tolist()) == best_score(a.tolist(), b[whole[2] : whole[3]].tolist())
 
 
 def test_blocks_of_items_and_short_items(spark):
@@ -75,9 +131,10 @@ def test_blocks_of_items_and_short_items(spark):
 
 
 def test_alignment():
-    assert decontaminate.align((1, 2, 3), (9, 1, 2, 3, 9)) == (3, 1, 4)
-    assert decontaminate.align((1, 2, 3, 4), (1, 2, 7, 3, 4)) == (4, 0, 5)
-    assert decontaminate.align((1, 2), (3, 4))[0] == 0
+    align = lambda a, b: decontaminate.align(np.array(a), np.array(b))
+    assert align((1, 2, 3), (9, 1, 2, 3, 9)) == (3, 3, 1, 4)
+    assert align((1, 2, 3, 4), (1, 2, 7, 3, 4)) == (4, 2, 0, 5)
+    assert align((1, 2), (3, 4))[:2] == (0, 0)
 
 
 def folder(spark):

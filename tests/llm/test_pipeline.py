@@ -74,6 +74,48 @@ def test_run(spark, sf_dir):
     assert len({r["doc_id"] for r in rows}) == len(rows)
 
 
+PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def kept_pairs(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+
+
+def test_rows_are_judged_not_ids(spark, tmp_path):
+    rng = random.Random(3)
+    a, b, x = (" ".join(words(rng, 30, 4000)) for _ in range(3))
+    copies = [(1, a), (7, a), (7, b), (None, a), (None, x), (None, None), (7, ""), (7, ""), (7, b)]
+    docs = spark.createDataFrame([(*r, "en", f"s{n}", 1) for n, r in enumerate(copies)], PLAIN)
+    got = kept_pairs(corpus_pipeline.drop_near_copies(spark, docs, ""))
+    assert got == sorted([(1, a), (7, b), (None, x), (None, None), (7, ""), (7, "")], key=repr)
+
+    spark.createDataFrame([(5, a)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leaks = [(None, a), (None, x), (7, a), (7, b), (8, b), (8, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in leaks], PLAIN)
+    got = kept_pairs(corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)))
+    assert got == sorted([(None, x), (7, b), (8, b), (8, None)], key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_copies_by_row_against_brute_force(spark, seed):
+    """Few ids on many texts: of each group of linked rows one stays, the smallest by id and text key."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(40):
+        text = words(rng, rng.choice((4, 25, 40)), 3000)
+        for _ in range(rng.randint(1, 4)):
+            rows.append((rng.choice([None, *range(6)]), " ".join([*text, "more"][: len(text) + rng.randint(0, 1)])))
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], PLAIN)
+    numbered = [(n, t) for n, (_, t) in enumerate(rows)]
+    group = {n: c for n, _, c in brute_groups(numbered, 5, 80)}
+    keys = {r["text"]: r["k"] for r in docs.selectExpr("text", "xxhash64(text) as k").collect()}
+    best = {}
+    for n, (ident, text) in enumerate(rows):
+        best.setdefault(group[n], []).append((ident is None, ident or 0, keys[text], text))
+    want = sorted(((None if m[0] else m[1], m[3]) for m in map(min, best.values())), key=repr)
+    assert kept_pairs(corpus_pipeline.drop_near_copies(spark, docs, "")) == want
+
+
 def test_the_rest_does_not_need_the_package():
     code = (
         "import sys\n"
@@ -81,9 +123,6 @@ def test_the_rest_does_not_need_the_package():
         "    def find_spec(self, name, path=None, target=None):\n"
         "        if name == 'corpus_pipeline' or name.startswith('replaystats.llm'):\n"
         "            raise ModuleNotFoundError(name, name=name)\n"
-        "import importlib.util, importlib\n"
-        "real = importlib.util.find_spec\n"
-        "importlib.util.find_spec = lambda n, p=None: None if n == 'corpus_pipeline' or n.startswith('replaystats.llm') else real(n, p)\n"
         "sys.meta_path.insert(0, Gone())\n"
         "import __spark_entry__ as e\n"
         "assert e.queries() and not any(q.startswith('op') and q[2].isdigit() for q in e.queries())\n"
