@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from replaystats.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
 from replaystats.llm.lm_score import held_out
 from replaystats.llm.queries import RANKS
-from replaystats.session import staging_root
+from replaystats.session import stage, staging_root
 
 # Byte-level BPE and factorization machines are beyond SQL; tests hold the pipeline against brute force.
 ORACLE_SQL = None
@@ -36,24 +36,45 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the one of smallest id.
-    Repeated rows of that id and text stay once; texts without a word have no group and all stay."""
-    linked = jaccard_join.link(docs, words=5, part=80, whole=100)
-    # An id may stand on several texts: those of other components than its own name go.
-    gone = linked.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"))
-    kept = docs.join(gone.distinct(), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
-    twice = linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the row of smallest id, a
+    null id last; of an id's rows in a group that of smallest text key. Repeated rows of that id and text
+    stay once. Texts without a word have no group and all stay."""
+    linked = jaccard_join.link(docs, words=5, part=80, whole=100).filter("component is not null")
+    linked = stage(linked.select("doc_id", F.col("text_key").alias(KEY), "component"), "linked")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)
+    first = linked.groupBy("component").agg(F.min(row).alias("first"))
+    others = linked.join(first, "component").filter(row != F.col("first"))
+    kept = without_rows(docs, others)
+    twice = linked.groupBy("doc_id", KEY).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id", KEY)
     if twice.isEmpty():
         return kept
-    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(again)
+    again = docs.withColumn(KEY, F.xxhash64("text")).join(named(twice), on_row(), "left_semi").drop(KEY)
+    again = without_rows(again, others).dropDuplicates(["doc_id", "text"])
+    return without_rows(kept, twice).unionByName(again)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontaminate.find_leaks(docs, items).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left_anti")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias(KEY))
+    return without_rows(docs, decontaminate.find_leaks(keyed, items, carry=(KEY,)))
+
+
+# An id may be null or stand on several texts, so a decision about a text goes by its row: id and hash.
+KEY = "_text_key"
+
+
+def named(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").alias("_id"), F.col(KEY).alias("_key")).distinct()
+
+
+def on_row():
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(KEY) == F.col("_key"))
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents without those that ``rows`` names by id and text key."""
+    return docs.withColumn(KEY, F.xxhash64("text")).join(named(rows), on_row(), "left_anti").drop(KEY)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
