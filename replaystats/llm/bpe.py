@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from replaystats.llm.text import batches, small_batches
 
 SHORT = 32  # bytes; pieces up to here share a batch of trees
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 GROUP_CHARS = 2 << 20
 # Blanks beside a space, and blanks that are neither space nor line feed (fixed values of the pattern).
 LOOSE = ("  ", " \n", "\n ", *map(chr, (9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))

@@ -26,10 +26,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replaystats.llm.text import WordHash, pick, small_batches
+from replaystats.llm.text import WordHash, batches, pick, small_batches
 
 TERM = regex.compile(r"[\p{L}\p{N}]+")
 PREFIX = 5
+PART_TERMS = 100_000
 MIN_STEPS = 200  # of mini-batches, however few rows there are
 
 
@@ -52,7 +53,11 @@ class Machine:
     factor: np.ndarray
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
-        at = np.concatenate([self.slot[r] for r in rows]) if rows else np.empty(0, np.int64)
+        """Scores of rows, some terms at a time, since each takes a hundred bytes of work space."""
+        return np.concatenate([np.empty(0), *map(self._score, batches(iter(rows), PART_TERMS, len))])
+
+    def _score(self, rows: list[np.ndarray]) -> np.ndarray:
+        at = np.concatenate([self.slot[r] for r in rows])
         owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         keep = at > 0
         return 1 / (1 + np.exp(-np.clip(_logits(self, at[keep], owner[keep], len(rows))[0], -30, 30)))
