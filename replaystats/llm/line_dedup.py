@@ -12,7 +12,8 @@ DataFrame operations only. A line in a third of all documents is one row per map
 aggregation; the final join has one row per key on one side, and AQE splits the other.
 
 Defined results: null or empty text is one empty line; a null id ranks below all others and all null
-ids count as one document; repeated rows of an id count once, and each loses the same lines.
+ids count as one document; repeated rows of an id count once, and each loses the same lines. Ids are
+numbers of any type and size.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replaystats.llm.text import BLANKS, LOWER, UPPER, let, pick
-from replaystats.session import stage, staging_root
+from replaystats.session import delete, stage, staging_root
 
 KEY = ("k1", "k2")
 
@@ -34,6 +35,7 @@ class LineRuns:
     def __init__(self, spark: SparkSession, min_docs: int, buckets: int, fanout: int):
         self.spark, self.min_docs, self.buckets, self.fanout = spark, min_docs, buckets, fanout
         self.levels: list[list[str]] = [[]]
+        self.folders: dict[str, str] = {}
 
     def add(self, batch: DataFrame) -> None:
         """Add distinct (k1, k2, id) rows whose ids are all below those added before."""
@@ -71,11 +73,12 @@ class LineRuns:
 
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.folders[name] = f"{staging_root(self.spark)}/{name}"
         (
             rows.repartition(self.buckets, *KEY)
             .write.bucketBy(self.buckets, *KEY)
             .sortBy(*KEY)
-            .option("path", f"{staging_root(self.spark)}/{name}")
+            .option("path", self.folders[name])
             .saveAsTable(name)
         )
         return name
@@ -83,6 +86,7 @@ class LineRuns:
     def _drop(self, names: list[str]) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete(self.spark, self.folders[name])  # a table with a path of its own leaves its files
 
 
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -132,20 +136,20 @@ def dedup_lines(
     docs = pick(docs, id_col, text_col, *carry).toDF("id", "text", *(f"carry_{i}" for i in range(len(carry))))
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     keys = stage(line_keys(docs.select("id", "text"), min_chars), "line-keys")
-    bounds = keys.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
+    # Batches of about equal size, whatever the ids are.
+    shares = [1 - (i + 1) / batches for i in range(batches - 1)]
+    found = keys.agg(F.percentile_approx("id", shares, 1000).alias("bounds")).first()["bounds"] if shares else None
     runs = LineRuns(spark, min_docs, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
-    low, high = bounds["low"], bounds["high"]
-    if low is None:
-        runs.add(keys.select(*KEY, "id").distinct())
-    else:
-        width = (high - low) // batches + 1
-        for i in range(batches):
-            part = (F.col("id") <= high - i * width) & (F.col("id") > high - (i + 1) * width)
-            if i == batches - 1:
-                part = part | F.col("id").isNull()
+    try:
+        above = None
+        for low in [*sorted(set(found or []), reverse=True), None]:
+            part = F.lit(True) if above is None else F.col("id") <= above
+            part = part & (F.col("id") > low) if low is not None else part | F.col("id").isNull()
             runs.add(keys.filter(part).select(*KEY, "id").distinct())
-    repeated = runs.repeated()
-    runs.drop()
+            above = low
+        repeated = runs.repeated()
+    finally:
+        runs.drop()
     dropped = (
         keys.join(repeated, [*KEY])
         .filter(~F.col("id").eqNullSafe(F.col("owner")))

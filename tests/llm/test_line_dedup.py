@@ -3,9 +3,10 @@ from __future__ import annotations
 import random
 import re
 from collections import defaultdict
-
+from pathlib import Path
 
 from replaystats.llm.line_dedup import dedup_lines
+from replaystats.session import staging_root
 from tests.llm.cases import documents, edges
 
 BLANKS = " \t\n\x0b\f\r"
@@ -61,3 +62,15 @@ def test_empty(spark):
 def test_stays_in_spark(spark):
     plan = dedup_lines(documents(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_ids_at_the_ends_of_a_long(spark):
+    line = "a line that stands in all of these documents"
+    ids = [-(1 << 63), 0, (1 << 63) - 1, 5, 6, None, 5]
+    rows = [(i, f"{line}\nown {n}") for n, i in enumerate(ids)]
+    got = dedup_lines(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_dropped"]) for r in got) == sorted(
+        (i is None, i or 0, int(i != (1 << 63) - 1)) for i in ids
+    )
+    left = {p.name for p in Path(staging_root(spark)).glob("line_run_*")}
+    assert not left and not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
