@@ -244,4 +244,22 @@ low AS (SELECT a AS rid, min(doc_id) AS component_id FROM reach JOIN sets ON rea
 SELECT doc_id, len(s) AS n_shingles, component_id FROM sets JOIN low USING (rid)
 """
 
-SQL = {"op4_jaccard_join": JACCARD, "op6_line_dedup": LINES, "op10_quality": QUALITY, "op11_pii": PII, "op12_divergence": DIVERGENCE}
+# Fixed value: the digits of base 32. Five hexadecimal digits are four of them.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+PART = "list_reduce(list_transform(range(5), lambda k: instr('0123456789abcdef', substr(hex, 5 * g + k + 1, 1)) - 1), lambda a, d: a * 16 + d)"
+ARCHIVE = f"""
+WITH payload AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+),
+digits AS (
+  SELECT *, list_transform(range(8), lambda g: {PART}) AS parts FROM payload
+)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('{BASE32}', ((parts[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digits
+"""
+
+SQL = {"op5_warc": ARCHIVE, "op4_jaccard_join": JACCARD, "op6_line_dedup": LINES, "op10_quality": QUALITY, "op11_pii": PII, "op12_divergence": DIVERGENCE}

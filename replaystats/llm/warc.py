@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -154,8 +155,16 @@ def read_file(source) -> Iterator[bytes]:
         held = held or source.read(CHUNK)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system: that of the cluster's configuration where the name has none. So
+    all machines mean the same place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/(?!/)", "file:///", full)
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+    return fs.FileSystem.from_uri(uri)
 
 
 def plan(pages: DataFrame, min_bytes: int) -> DataFrame:
@@ -202,6 +211,7 @@ def write(
     small_batches(spark)
     stamp = (date or datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     planned = plan(pick(pages, id_col, url_col, html_col).toDF("id", "url", "html"), min_bytes)
+    folder = qualified(spark, folder)
     system, root = _open(folder)
     system.create_dir(root, recursive=True)
 
@@ -236,6 +246,7 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """(id, url, payload, payload_bytes, payload_digest, record_type, refers_to) per record of the
     manifest's files, one file a task. ``payloads=False`` checks payloads but returns nulls."""
     small_batches(manifest.sparkSession)
+    folder = qualified(manifest.sparkSession, folder)
     schema = pa.schema(
         [
             ("id", pa.int64()),
