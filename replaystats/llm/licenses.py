@@ -96,11 +96,34 @@ TEMPLATES = {
         "to the extent possible under law the author has waived all copyright and related rights to this work",
         "dedicated to the public domain under cc0",
     ),
+    "isc": (
+        "released under the isc license",
+        "licensed under the isc license",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
     "unlicense": (
         "released under the unlicense",
         "this is free and unencumbered software released into the public domain",
     ),
 }
+# The identifiers of the families in a short notice.
+IDENTIFIERS = {
+    "mit": "mit",
+    "apache-2.0": "apache 2.0",
+    "gpl-3.0": "gpl 3.0 or later",
+    "gpl-2.0": "gpl 2.0 only",
+    "lgpl": "lgpl 2.1 or later",
+    "agpl-3.0": "agpl 3.0 or later",
+    "bsd": "bsd 3 clause",
+    "mpl-2.0": "mpl 2.0",
+    "cc-by": "cc by 4.0",
+    "cc-by-sa": "cc by sa 4.0",
+    "cc-by-nc": "cc by nc 4.0",
+    "cc0": "cc0 1.0",
+    "isc": "isc",
+    "unlicense": "unlicense",
+}
+TEMPLATES = {family: (*notices, f"spdx license identifier {IDENTIFIERS[family]}") for family, notices in TEMPLATES.items()}
 UNKNOWN, NONE = "unknown", "none"
 UNKNOWN_FRAMES = (
     "licensed under the {} license",
@@ -108,6 +131,13 @@ UNKNOWN_FRAMES = (
     "this work is licensed under the {} public license",
     "distributed under the terms of the {} license agreement",
     "use of this software is subject to the {} license",
+    "spdx license identifier {} {}",
+    "lizenziert unter der {} lizenz",
+    "veröffentlicht unter den bedingungen der {} lizenz",
+    "distribué sous licence {}",
+    "sous les termes de la licence {} {}",
+    "publicado bajo la licencia {}",
+    "licenciado bajo los términos de la licencia {}",
 )
 CLASSES = (NONE, UNKNOWN, *TEMPLATES)
 GROUP_WORDS = 120  # twice the longest template and more
@@ -240,12 +270,17 @@ def fit(plain: list[str], seed: int = 11, epochs: int = 40) -> Classifier:
     return model
 
 
-def train(docs: DataFrame, text_col: str = "text", max_plain: int = 1500) -> Classifier:
-    """Fit with at most ``max_plain`` lines of the corpus, those of the lowest hash, as plain text."""
+def train(docs: DataFrame, text_col: str = "text", max_plain: int = 1500, max_chars: int = 2000) -> Classifier:
+    """Fit with at most ``max_plain`` distinct lines of the corpus, those of the lowest hash, as plain text,
+    of lines of at most ``max_chars`` characters, so that what reaches the driver is bounded. (Fewer if
+    copies of few lines make up almost the whole corpus: the bound of the hash counts all lines.)"""
     lines = pick(docs, text_col).toDF("text").select(F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.filter(F.btrim("line", F.lit(BLANKS)) != "")
-    lines = lines.filter(F.length("line") < 2000).select(F.xxhash64("line").alias("h"), "line")
-    sample = lines.orderBy("h", "line").limit(max_plain).select("line")
+    lines = lines.filter((F.btrim("line", F.lit(BLANKS)) != "") & (F.length("line") <= max_chars))
+    lines = lines.select(F.xxhash64("line").alias("h"), "line")
+    # Tasks send only lines below a bound of the hash that leaves about four times the wanted number.
+    share = min(1.0, 4 * max_plain / max(1, lines.count()))
+    bound = int(share * (1 << 64)) - (1 << 63) - 1
+    sample = lines.filter(F.col("h") <= bound).distinct().orderBy("h", "line").limit(max_plain).select("line")
     return fit([r["line"] for r in sample.collect()])
 
 
