@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from replaystats.llm.text import batches, small_batches
 
 SHORT = 32  # bytes; pieces up to here share a batch of trees
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 GROUP_CHARS = 2 << 20
 # Blanks beside a space, and blanks that are neither space nor line feed (fixed values of the pattern).
 LOOSE = ("  ", " \n", "\n ", *map(chr, (9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -341,3 +341,32 @@ def decode(df: DataFrame, ids: str, rank_path: str, pattern: str, out: str = "de
             yield _with(batch, out, column)
 
     return df.mapInArrow(run, _schema(df, out, T.BinaryType()))
+
+
+def round_trip(df: DataFrame, text: str, rank_path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+    """``df`` with the ids of its column ``text`` as ``ids`` and the bytes decoded from these as ``out``.
+
+    As :func:`encode` and then :func:`decode`, in one worker a task instead of two, a group of texts at a time.
+    """
+    small_batches(df.sparkSession)
+    bpe = shipped(df.sparkSession, rank_path, pattern)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = bpe.get()
+        for batch in source:
+            texts = [t or "" for t in batch.column(batch.schema.names.index(text)).to_pylist()]
+            values, lengths, raws = [np.empty(0, np.int32)], [], []
+            for group in batches(iter(texts), GROUP_CHARS, len):
+                found = coder.encode_all(group)
+                sizes = [len(x) for x in found]
+                flat = np.concatenate(found)
+                raw, stops = coder.decode_flat(flat.astype(np.int64), np.cumsum([0, *sizes]))
+                values.append(flat)
+                lengths += sizes
+                raws += [raw[a:b].tobytes() for a, b in zip(stops, stops[1:], strict=False)]
+            listed = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(np.concatenate(values)))
+            yield _with(_with(batch, ids, listed), out, pa.array(raws, pa.binary()))
+
+    kept = [f for f in df.schema.fields if f.name not in (ids, out)]
+    made = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.BinaryType())]
+    return df.mapInArrow(run, T.StructType(kept + made))

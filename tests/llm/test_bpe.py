@@ -65,3 +65,15 @@ def test_empty_and_bad(spark):
     wrong = spark.createDataFrame([([10**7],)], "ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):
         bpe.decode(wrong, "ids", RANKS, P.PATTERN).collect()
+
+
+def test_round_trip_is_encode_and_decode(spark):
+    docs = documents(spark, [*edges(), (70, "über 12,345 words\tand  blanks "), (71, "x" * 5000)])
+    docs = docs.withColumnRenamed("digest", "decoded")  # a column of that name is replaced
+    got = bpe.round_trip(docs, "text", RANKS, P.PATTERN)
+    key = lambda r: (r["doc_id"], r["text"], tuple(r["token_ids"]), bytes(r["decoded"]))
+    both = bpe.decode(bpe.encode(docs.drop("decoded"), "text", RANKS, P.PATTERN, "again"), "again", RANKS, P.PATTERN, "decoded")
+    assert sorted(map(key, got.collect()), key=repr) == sorted(
+        ((r["doc_id"], r["text"], tuple(r["again"]), bytes(r["decoded"])) for r in both.collect()), key=repr
+    )
+    assert got.columns.count("decoded") == 1
