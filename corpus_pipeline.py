@@ -79,8 +79,7 @@ def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, token_ids, n_tokens, and digests of the ids and of the decoded bytes) per document."""
-    coded = bpe.encode(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
-    back = bpe.decode(coded.select("doc_id", "token_ids"), "token_ids", RANKS, public_tokenizers.PATTERN)
+    back = bpe.round_trip(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
     return back.select(
         "doc_id",
         "token_ids",
