@@ -79,8 +79,8 @@ def staging(spark: SparkSession) -> Iterator[None]:
         _RUN.reset(token)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, in folders ``by`` some columns, and read it back.
 
     Used where one intermediate feeds several consumers. Unlike a cache it survives
     the loss of executors, and the read side still prunes columns and has exact size
@@ -88,7 +88,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{_RUN.get()}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
