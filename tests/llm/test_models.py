@@ -75,6 +75,22 @@ def test_licences(spark):
     assert licenses.scan(documents(spark, []), licenses.train(documents(spark, []))).collect() == []
 
 
+def test_short_and_foreign_notices(spark):
+    plain = [" ".join(words(random.Random(i), 12)) + "." for i in range(200)]
+    notices = {
+        "SPDX-License-Identifier: MIT": "mit",
+        "// SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.": "isc",
+        "Lizenziert unter der Frobnix-Lizenz.": "unknown",
+        "Distribué sous licence Frobnix.": "unknown",
+    }
+    text = "\n\n".join(x for pair in zip(plain, notices, strict=False) for x in pair)
+    model = licenses.train(documents(spark, [(1, "\n".join(plain)), (2, "x" * 5000)]), max_plain=150)
+    got = {r["line"]: r["family"] for r in licenses.scan(documents(spark, [(None, text)]), model).collect()}
+    assert got == {4 * i + 2: family for i, family in enumerate(notices.values())}
+
+
 NOTICES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
@@ -210,6 +226,39 @@ def test_each_id_is_scored_once():
     assert np.allclose(model.score([[3, 4], [5] * 9], 4), [model.score([[3, 4]], 4)[0], model.score([[5] * 9], 4)[0]])
 
 
+def test_pairs_share_out_each_class():
+    model = small_model()
+    rng = np.random.default_rng(8)
+    text = rng.integers(200, 212, 3000)
+    codes, counts = np.unique((np.concatenate([[-1], text[:-1]]) + 1) * 400 + text, return_counts=True)
+    model.pairs = lm_score.Pairs(codes, counts, model.group)
+    every = np.arange(400)
+    for before in (-1, 200, 207, 3):  # the start of a text, ids that were seen, and one that was not
+        share = np.exp(model.pairs.log_share(np.full(400, before), every, model.share))
+        mass = np.bincount(model.group, share, lm_score.CLASSES)
+        assert np.allclose(mass[np.bincount(model.group, minlength=lm_score.CLASSES) > 0], 1, atol=1e-3)
+    plain = small_model()
+    y = rng.integers(200, 212, 50).tolist()
+    own = sum(model.pairs.log_share(np.array([a]), np.array([b]), model.share[[b]])[0] - model.share[b] for a, b in zip([-1, *y], y, strict=False))
+    assert np.isclose(model.score([y], 4)[0] - plain.score([y], 4)[0], own, atol=1e-3) and own > 1
+
+
+def test_pairs_are_counted_over_all_texts(spark):
+    rows = [(1, "alpha beta alpha beta"), (2, "alpha beta alpha beta"), (3, "beta"), *edges()]
+    coder = lm_score.Coder(spark, RANKS, P.PATTERN)
+    coded = lm_score.encode(documents(spark, rows).selectExpr("cast(text as binary) as raw"), coder)
+    size = coder.get().n_vocab + 1
+    want = Counter()
+    for _, t in rows:
+        ids = [-1, *coder.get().encode_ordinary(t or ""), size - 1]
+        want.update((a + 1) * size + b for a, b in zip(ids, ids[1:], strict=False))
+    for held in (2_000_000, 3):
+        codes, counts = lm_score.pair_counts(coded, size, 1 << 20, held)
+        assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == want
+    codes, counts = lm_score.pair_counts(coded, size, 3)
+    assert len(codes) <= 3 and set(counts) <= set(sorted(want.values())[-3:])
+
+
 def test_default_windows_give_real_context():
     defaults = {k: p.default for k, p in inspect.signature(lm_score.score).parameters.items()}
     window, stride = defaults["window"], defaults["stride"]
