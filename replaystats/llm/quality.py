@@ -6,7 +6,7 @@ passes the base rules, has a word left and its failed lines hold at most ``max_l
 characters.
 
 DataFrame functions only, all inside one row: no shuffle at any size. Repeated three-word windows
-are found by sorting one packed (hash, position) number per window, O(n log n) in the words of a text.
+are found by sorting a (hash, position) per window, O(n log n) in the words of a text.
 
 Defined results: null text has no word, counts as zero everywhere, fails the base rules and is not
 kept. One output row per input row.
