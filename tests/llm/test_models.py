@@ -259,6 +259,36 @@ def test_pairs_are_counted_over_all_texts(spark):
     assert len(codes) <= 3 and set(counts) <= set(sorted(want.values())[-3:])
 
 
+def test_pairs_that_are_not_shipped_count_as_well(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(words(rng, rng.randint(1, 40), 30))) for i in range(60)] + edges()
+    runs = {}
+    for most in (0, 3, 40, 1 << 20):
+        df = lm_score.score(documents(spark, rows), RANKS, P.PATTERN, epochs=1, max_docs=5, window=8, stride=4, width=4, pairs=most)
+        runs[most] = sorted(((r["doc_id"] is None, r["doc_id"], r["n_tokens"], r["score"]) for r in df.collect()), key=repr)
+    for most in (0, 3, 40):
+        assert [r[:3] for r in runs[most]] == [r[:3] for r in runs[1 << 20]]
+        assert np.allclose([r[3] for r in runs[most]], [r[3] for r in runs[1 << 20]], rtol=1e-5)
+
+
+def test_open_terms_complete_the_score():
+    model, part = small_model(), small_model()
+    rng = np.random.default_rng(8)
+    text = rng.integers(200, 212, 3000)
+    codes, counts = np.unique((np.concatenate([[-1], text[:-1]]) + 1) * 400 + text, return_counts=True)
+    model.pairs = whole = lm_score.Pairs(codes, counts, model.group)
+    sums = dict(zip(whole.class_codes.tolist(), whole.class_counts.tolist(), strict=True))
+    part.pairs = lm_score.Pairs(codes[::3], counts[::3], model.group, sums=(whole.class_codes[::2], whole.class_counts[::2]))
+    texts = [rng.integers(198, 212, n).tolist() for n in (1, 30, 0, 7)]
+    known, rest = part.score_apart(texts, 4)
+    first, pairs = 401 * lm_score.CLASSES, dict(zip(codes.tolist(), counts.tolist(), strict=True))
+    for i, terms in enumerate(lm_score.open_terms(len(texts), rest, 400).to_pylist()):
+        for t in terms:
+            count = sums.get(t["key"], 0) if t["key"] < first else pairs.get(t["key"] - first, 0)
+            known[i] += (-1 if t["key"] < first else 1) * t["times"] * math.log(count + lm_score.PAIR_WEIGHT * math.exp(t["share"]))
+    assert np.allclose(known, model.score(texts, 4), rtol=1e-5)
+
+
 def test_default_windows_give_real_context():
     defaults = {k: p.default for k, p in inspect.signature(lm_score.score).parameters.items()}
     window, stride = defaults["window"], defaults["stride"]
