@@ -11,6 +11,7 @@ from checks.queries import QUERIES
 from checks.views import WINDOW, Views
 from replaystats.operators import aggregates as agg
 from replaystats.operators import joins, keyed
+from replaystats.plans import matches as match_plan
 from replaystats.plans import pages
 from replaystats.sources import meta
 
@@ -94,6 +95,18 @@ def test_raw_matches_of_a_user_are_not_gathered(spark):
             assert any(node in below for node in reducing), below
 
 
+def test_match_documents_are_parsed_once(spark, tmp_path):
+    docs = [("a", '{"mapId": "7", "hasBots": "no", "Map": {"scriptName": "x"}}'), ("b", '{"mapId": "seven", "durationMs": "1e"}'), ("c", "{"), ("d", None)]
+    spark.createDataFrame(docs, "replay_id string, raw_json string").withColumn("start_time", F.current_timestamp()).write.parquet(str(tmp_path / "docs"))
+    replays = spark.read.parquet(str(tmp_path / "docs"))
+    players = spark.createDataFrame([(r, 1, 2, 3, 1.0) for r in "abcd"], "replay_id string, user_id int, player_id int, ally_team_id int, skill float")
+    batch, bad = match_plan.match_batch_and_rejects(replays, replays.limit(0), replays.limit(0), lambda _: players, "2000-01-01")
+    assert sorted((r["replay_id"], r["map_id"], r["has_bots"]) for r in batch.collect()) == [("a", 7, False), ("c", None, None), ("d", None, None)]
+    assert sorted((r["replay_id"], r["field"], r["value"]) for r in bad.collect()) == [("b", "durationMs", "1e"), ("b", "mapId", "seven")]
+    optimized = match_plan.parsed_matches(replays).filter(F.size("rejects") == 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json") == 1
+
+
 @pytest.mark.parametrize(("small", "most"), [(False, 4), (True, 6)])
 def test_insert_moves_each_side_once(spark, small, most):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if small else "-1")
