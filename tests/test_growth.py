@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from replaystats.operators import aggregates as agg
 from replaystats.operators import upserts
+from replaystats.plans import players as player_plan
 from replaystats.session import stage
+from replaystats.sources import tables as t
+from replaystats.sources.tables import Tables
 from tests.conftest import rows, times
 from tests.test_plans import plan_of
 
@@ -51,3 +54,24 @@ def test_lobby_stats_gather_no_sets(spark):
     stats = agg.lobby_stats(players)
     assert rows(stats, "replay_id", "player_count", "team_count", "avg_lobby_skill") == [("m", 2, 2, 30.0), ("n", 0, 0, 5.0)]
     assert "collect_set" not in plan_of(stats)
+
+
+def test_a_join_with_an_empty_table_moves_nothing(spark, tmp_path):
+    """Before the first write the other side stays where it is, broadcasts or not."""
+    tables = Tables(spark, str(tmp_path / "tables"))
+    made = spark.range(2000).select(F.col("id").cast("string").alias("replay_id"), F.md5(F.col("id").cast("string")).alias("doc_hash"))
+    documents = stage(made, "documents")
+    for ledger in (tables.read(t.FLATTENED), tables.read_days(t.FLATTENED)):
+        fresh = player_plan.not_flattened(documents, ledger)
+        assert "Exchange" not in plan_of(fresh) and fresh.count() == 2000
+    assert tables.read_days(t.MATCHES).columns == [*t.SCHEMAS[t.MATCHES].names, "start_date"]
+    assert "Exchange" not in plan_of(documents.join(tables.read(t.MATCHES), "replay_id", "left_anti"))
+
+
+def test_a_join_of_small_partitions_sorts_neither_side(spark, small_broadcasts):
+    made = spark.range(20000).select(F.col("id").cast("string").alias("replay_id"), F.md5(F.col("id").cast("string")).alias("name"))
+    left, right = stage(made, "left"), stage(made.filter("id % 2 = 0").withColumnRenamed("name", "other"), "right")
+    joined = left.join(right, "replay_id")
+    assert len(joined.collect()) == 10000
+    final = plan_of(joined).split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
