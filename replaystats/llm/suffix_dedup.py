@@ -64,42 +64,36 @@ def digest_of(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())[:12]
 
 
-def _texts(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, digest, n) of each text that is long enough. docs: (id, raw)."""
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        for batch in source:
-            words = [hashes.of(words_of(r or b"")) for r in batch.column(1).to_pylist()]
-            keep = [i for i, w in enumerate(words) if len(w) >= min_words]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([digest_of(words[i]) for i in keep], pa.binary()), pa.array([len(words[i]) for i in keep], pa.int64())],
-                names=["id", "digest", "n"],
-            )
-
-    return docs.mapInArrow(run, "id long, digest binary, n long")
-
-
-def _suffixes(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """(key, digest) of each kept suffix. docs: (raw)."""
+def _texts(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
+    """(id, row, digest, n, keys) of each text that is long enough. ``keys`` are its kept suffixes, where a task
+    meets the words for the first time; copies of them in the same task have none. docs: (id, row, raw)."""
+    names = ["id", "row", "digest", "n", "keys"]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, done = WordHash(), set()
         for batch in source:
-            keys, digests = [], []
-            for raw in batch.column(0).to_pylist():
+            keep, digests, sizes, keys, ends = [], [], [], [np.empty(0, np.int64)], [0]
+            for i, raw in enumerate(batch.column(2).to_pylist()):
                 words = hashes.of(words_of(raw or b""))
-                if len(words) < min_words or (digest := digest_of(words)) in done:
+                if len(words) < min_words:
                     continue
-                done.add(digest)
-                grams = Hashes(words).grams(gram)
-                own = np.unique(grams[chosen(grams, min_words - gram + 1)])
-                keys.append(own.view(np.int64))
-                digests += [digest] * len(own)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(digests, pa.binary())], names=["key", "digest"])
+                digest = digest_of(words)
+                keep.append(i)
+                digests.append(digest)
+                sizes.append(len(words))
+                if digest not in done:
+                    done.add(digest)
+                    grams = Hashes(words).grams(gram)
+                    keys.append(np.unique(grams[chosen(grams, min_words - gram + 1)]).view(np.int64))
+                    ends.append(ends[-1] + len(keys[-1]))
+                else:
+                    ends.append(ends[-1])
+            rows = pa.array(keep, pa.int64())
+            own = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
+            ids, places = (batch.column(c).take(rows) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([ids, places, pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), own], names=names)
 
-    return docs.select("raw").mapInArrow(run, "key long, digest binary")
+    return docs.select("id", "row", "raw").mapInArrow(run, "id long, row long, digest binary, n long, keys array<long>")
 
 
 def _compare(sorted_rows: DataFrame, last: bool) -> DataFrame:
@@ -177,16 +171,19 @@ def find_repeats(
     small_batches(docs.sparkSession)
     raw = pick(docs, id_col, text_col).toDF("id", "raw")
     raw = raw.select(F.col("id").cast("long"), F.col("raw").cast("binary"))
-    texts = stage(_texts(raw, min_words), "texts").distinct()
+    # The hash of the text's bytes, made without Python, finds the text of a digest again.
+    raw = raw.withColumn("row", F.xxhash64("raw"))
+    read = stage(_texts(raw, min_words, gram), "texts")
+    texts = read.select("id", "digest", "n").distinct()
     copies = texts.groupBy("digest").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.first("n").alias("n"),
         F.max(F.col("id").isNull()).alias("none"),
     )
     copied = (F.col("low") < F.col("high")) | (F.col("none") & F.col("low").isNotNull())
 
-    agreed = repeated(_suffixes(raw, min_words, gram), salts, "suffixes")
-    wanted = agreed.groupBy("digest").agg(F.collect_set("key").alias("keys"))
-    passages = _passages(raw, wanted, min_words, gram)
+    suffixes = read.select(F.explode("keys").alias("key"), "digest")
+    agreed = repeated(suffixes, salts, "suffixes").select("digest", "key")
+    passages = _passages(raw, _wanted(agreed, read), min_words, gram)
     spans = _spans(repeated(passages, salts, "passages"), min_words)
     whole = copies.filter(copied).select("digest", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"), F.col("digest").alias("other"))
     # A copied text is one span; its passages need no row of their own.
@@ -202,27 +199,26 @@ def find_repeats(
     )
 
 
-def _passages(docs: DataFrame, wanted: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """(key, digest, at): the passages around the agreed suffixes. wanted: (digest, keys)."""
+def _wanted(agreed: DataFrame, read: DataFrame) -> DataFrame:
+    """(digest, keys, home) of the texts with agreed suffixes; ``home`` is one row that holds the text."""
+    homes = read.select("digest", F.struct("row", "id").alias("home"))
+    both = agreed.unionByName(homes, allowMissingColumns=True)
+    gathered = both.groupBy("digest").agg(F.collect_set("key").alias("keys"), F.min("home").alias("home"))
+    return gathered.filter(F.size("keys") > 0)
 
-    def keyed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, done = WordHash(), set()
-        for batch in source:
-            raws, digests = [], []
-            for raw in batch.column(0).to_pylist():
-                words = hashes.of(words_of(raw or b""))
-                if len(words) >= min_words and (digest := digest_of(words)) not in done:
-                    done.add(digest)
-                    raws.append(raw)
-                    digests.append(digest)
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(raws, pa.binary())], names=["digest", "raw"])
+
+def _passages(docs: DataFrame, wanted: DataFrame, min_words: int, gram: int) -> DataFrame:
+    """(key, digest, at): the passages around the agreed suffixes. docs: (id, row, raw). wanted: (digest, keys, home)."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
         for batch in source:
             keys, digests, places = [], [], []
             for digest, raw, agreed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                every = Hashes(hashes.of(words_of(raw)))
+                words = hashes.of(words_of(raw))
+                if digest_of(words) != digest:  # other bytes of the same hash
+                    continue
+                every = Hashes(words)
                 grams = every.grams(gram)
                 own = grams[chosen(grams, min_words - gram + 1)].view(np.int64)
                 at = np.flatnonzero(np.isin(own, np.array(agreed, np.int64)))
@@ -234,7 +230,8 @@ def _passages(docs: DataFrame, wanted: DataFrame, min_words: int, gram: int) ->
                 names=["key", "digest", "at"],
             )
 
-    found = docs.select("raw").mapInArrow(keyed, "digest binary, raw binary").join(wanted, "digest")
+    home = F.col("home")
+    found = docs.join(wanted, (F.col("row") == home["row"]) & F.col("id").eqNullSafe(home["id"]))
     return found.select("digest", "raw", "keys").mapInArrow(run, "key long, digest binary, at long").distinct()
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+from replaystats.llm import suffix_dedup
 from replaystats.llm.suffix_dedup import find_repeats
 from tests.llm.cases import documents, edges, words
 
@@ -63,5 +64,29 @@ def test_production_parameters(spark):
     assert all(a != b for a, b in holders.items())
 
 
+def test_texts_without_an_id_of_their_own(spark):
+    rng = random.Random(3)
+    passages = [words(rng, 30, 5000) for _ in range(3)]
+    texts = [" ".join(words(rng, 9, 5000) + passages[i % 3] + words(rng, 9, 5000)) for i in range(12)]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:8]] + [(8, texts[4]), (8, texts[4]), (None, texts[5]), (9, texts[8])]
+    assert got(find_repeats(documents(spark, rows), min_words=20, gram=11, salts=3)) == brute(rows, 20)
+
+
+def test_a_text_is_split_twice(spark, tmp_path, monkeypatch):
+    log = tmp_path / "split"
+
+    def counted(raw):
+        with open(log, "ab") as file:
+            file.write(b".")
+        return raw.lower().split()
+
+    monkeypatch.setattr(suffix_dedup, "words_of", counted)
+    rng = random.Random(4)
+    passage = words(rng, 60, 5000)
+    rows = [(i, " ".join(words(rng, 20, 5000) + passage)) for i in range(20)]
+    assert len(got(find_repeats(documents(spark, rows)))) == 20
+    assert log.stat().st_size == 2 * len(rows)  # for its suffixes, and for the passages around those that agree
+
+
 def test_empty(spark):
     assert find_repeats(documents(spark, [])).collect() == []
