@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from checks.job_queries import write_each
 from replaystats.plans import jobs
 from replaystats.sources import journal, meta
 from replaystats.sources import tables as t
@@ -102,6 +103,42 @@ def test_portions(spark, place):
     assert got["inserted"] == 7 and len(names(done)) == 7
 
 
+def test_of_repeats_in_several_portions_the_earliest_counts(spark, place):
+    tables, inbox, *_ = place
+    for n in range(5):
+        for k in range(3):
+            put(inbox, f"{n}-{k}", f"m{n}", startTime=f"2025-05-20T1{(n + k) % 3}:00:00.000Z")
+    got = jobs.ingest_meta(spark, str(inbox), tables, LATER, max_files=4)
+    assert got == {"inserted": 5, "skipped": 10, "bad": 0}
+    landed = tables.read(t.RAW_CACHE).selectExpr("replay_id", "cast(start_time as string)")
+    assert rows(landed) == [(f"m{n}", "2025-05-20 10:00:00") for n in range(5)]
+    assert tables.read(t.INGEST_JOURNAL).count() == 15
+
+
+def test_named_files_are_looked_up_without_the_folder(spark, place, monkeypatch):
+    _, inbox, *_ = place
+    for n, name in enumerate([*NAMES, "star*", "what?", "back\\slash", "[x"]):
+        put(inbox, name, f"m{n}")
+    every = {r.path: r.raw_json for r in meta.read_meta_files(spark, str(inbox)).collect()}
+    with monkeypatch.context() as closed:
+        closed.setattr(meta, "only_files", lambda *a: pytest.fail("the folder was listed"))
+        for some in (list(every), list(every)[2:4]):
+            files = meta.read_meta_files(spark, str(inbox), some)
+            assert rows(files, "path", "raw_json") == sorted(((path, every[path]) for path in some), key=repr)
+    (inbox / f"{NAMES[0]}.json").unlink()
+    left = meta.read_meta_files(spark, str(inbox), list(every))
+    assert sorted(r.path for r in left.collect()) == sorted(path for path in every if json.loads(every[path])["id"] != "m0")
+
+
+@pytest.mark.parametrize("rows_in", [0, 1, 3, 500])
+def test_a_file_for_each_row(spark, tmp_path, rows_in):
+    write_each(spark.range(2000).repartition(5).filter(f"id < {rows_in}"), str(tmp_path / "box"))
+    found = list((tmp_path / "box").glob("*.json"))
+    texts = sorted(json.loads(p.read_text())["id"] for p in found if p.stat().st_size)
+    assert texts == list(range(rows_in)) and len(found) == max(1, rows_in)
+    assert rows_in < 500 or len({p.name[:10] for p in found}) > 30  # as many tasks
+
+
 def test_crash_in_the_hand_off(spark, place, monkeypatch):
     tables, inbox, done, aside = place
     put(inbox, "a b", "m1")
